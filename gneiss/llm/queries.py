@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gneiss.llm.jaccard_join import jaccard_join
+from gneiss.llm.line_dedup import dedup_lines
+from gneiss.llm.mixing import mix_sources
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,17 +20,26 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(_table(spark, sf_dir, "documents"), shingle=4, percent=85)
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = dedup_lines(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", "n_links", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_table(spark, sf_dir, "documents")).drop("source")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_jaccard_join,)}
+    return {f.__name__: f for f in (op2_jaccard_join, op9_line_dedup, op10_mixing)}
 
 
 _OP2 = r"""
 WITH RECURSIVE w AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS a
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS a
   FROM documents),
 s AS (
   SELECT doc_id, unnest(list_distinct(CASE WHEN len(a) = 0 THEN [] WHEN len(a) < 4 THEN [array_to_string(a, ' ')]
-    ELSE list_transform(range(1, len(a) - 2), i -> array_to_string(a[i:i + 3], ' ')) END)) AS g FROM w),
+    ELSE list_transform(range(1, len(a) - 2), lambda i: array_to_string(a[i:i + 3], ' ')) END)) AS g FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
 l AS (SELECT a, b FROM p JOIN n i ON i.doc_id = a JOIN n j ON j.doc_id = b WHERE 100 * k >= 85 * (i.n + j.n - k)),
@@ -40,5 +51,27 @@ FROM w LEFT JOIN n USING (doc_id) JOIN c ON c.node = w.doc_id LEFT JOIN d ON d.a
 """
 
 
+_OP10 = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, md5(CAST(doc_id AS VARCHAR)) AS key
+  FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (
+  SELECT *, 2.0::DOUBLE * source_size AS room, [3.0, 1.0, 2.0][((row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3) + 1]::DOUBLE AS weight FROM s),
+f AS (
+  SELECT *, (sum(source_size) OVER ()::DOUBLE * 1.5 - coalesce(sum(room) OVER b, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER b, 0)) AS level
+  FROM w WINDOW b AS (ORDER BY room / weight, encode(source) NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+g AS (SELECT arg_min(level, room / weight) AS level FROM f WHERE level * weight < room),
+t AS (SELECT w.source, source_size, coalesce(least(room, g.level * weight), room) AS target FROM w LEFT JOIN g ON true),
+p AS (
+  SELECT d.doc_id, size, source_size, target, CAST(floor(target) AS BIGINT) AS budget,
+    CAST(coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS ahead
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+  CAST(CASE WHEN source_size = 0 THEN 0 ELSE (budget // source_size) * size + least(greatest(budget % source_size - ahead, 0), size) END AS BIGINT) AS taken
+FROM p
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_jaccard_join": _OP2}
+    return {"op2_jaccard_join": _OP2, "op10_mixing": _OP10}
