@@ -13,15 +13,18 @@ on two levels.
    shingles fall into D + 1 + spare classes; by the pigeonhole principle a
    linked pair agrees wholly on more than `spare` classes. A class and its
    content are a pivot whose cell of radius 0 holds the documents that agree
-   with it. Empty contents are left out of documents with at most `spare` of
-   them, which keeps a pair's remaining agreement non-empty. Cells that share
-   documents are joined into candidate regions.
+   with it. Weak contents, of no or one shingle, are left out of documents
+   with at most `spare` of them, which still leaves a pair a cell in common.
+   Inside a cell, documents are joined where counts of shingles by class (a
+   contraction of the metric) don't rule a link out; documents so joined, over
+   all cells, are a candidate region.
 2. Voronoi regions. Inside a region distances spread. Pivots are drawn,
    documents go to their nearest pivot's cell and, where d(x, p) - d(x, nearest)
    is at most twice the threshold distance, into p's cell as well; cells are
    cut again until they are small or stop shrinking, and leaves compare their
    documents by exact set products. A region of more than `region_rows`
-   documents is cut this way by a distributed round first.
+   documents is cut this way by distributed rounds first; a document's links
+   are counted in the cell of its nearest pivot, where all its partners are.
 
 Equal sets are one document with a multiplicity, so copies are never paired.
 Shingles are 64-bit hashes of the lower-cased words.
@@ -71,7 +74,8 @@ def classes(upper: int, percent: int) -> tuple[int, int]:
     spare = 0
     for _ in range(6):
         m = d + 1 + spare
-        mean = m * np.exp(-upper / BAND / m)
+        load = upper / BAND / m
+        mean = m * np.exp(-load) * (1 + load)
         spare = int(np.ceil(mean + 3 * np.sqrt(mean)))
     return d + 1 + spare, spare
 
@@ -116,8 +120,8 @@ def cell_keys(h: np.ndarray, ptr: np.ndarray, percent: int) -> tuple[np.ndarray,
         np.cumsum(content[at][order], out=total[1:])
         ends = np.cumsum(filled.ravel())
         sums = (total[ends] - total[ends - filled.ravel()]).reshape(len(rows), m)
-        empty = filled == 0
-        wanted = ~empty | (empty.sum(1) > spare)[:, None]
+        weak = filled < 2
+        wanted = ~weak | (weak.sum(1) > spare)[:, None]
         r, c = np.nonzero(wanted)
         which.append(rows[r])
         keys.append(mix(sums[r, c] + mix((np.uint64(b) << np.uint64(32)) + c.astype(np.uint64))))
@@ -136,6 +140,91 @@ def _cells(n: int, percent: int):
     return run
 
 
+SKETCH = 64
+#: Cells of up to so many documents give all their possible pairs, larger ones a spanning forest of them.
+FEW = 12
+
+
+def _sketches(n: int):
+    """Counts of each set's shingles in SKETCH classes, at most 255; L1 distances of them never exceed the sets' difference."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, texts in slices(batch):
+                h, ptr = distinct_sets(texts, n)
+                at = np.repeat(np.arange(len(texts)) * SKETCH, np.diff(ptr)) + (mix(h ^ np.uint64(0x94D049BB133111EB)) >> np.uint64(58)).astype(np.int64)
+                counts = np.minimum(np.bincount(at, minlength=len(texts) * SKETCH), 255).astype(np.uint8).tobytes()
+                rows = pa.array([counts[i : i + SKETCH] for i in range(0, len(counts), SKETCH)], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(ptr)), rows], ["doc_id", "size", "sketch"])
+
+    return run
+
+
+def possible(sketch: np.ndarray, size: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+    """Whether the sketches of rows i and j leave a link possible."""
+    out = np.zeros(len(i), bool)
+    for a in range(0, len(i), 1 << 16):
+        x, y = i[a : a + (1 << 16)], j[a : a + (1 << 16)]
+        apart = np.abs(sketch[x].astype(np.int16) - sketch[y]).sum(1, dtype=np.int64)
+        out[a : a + (1 << 16)] = apart * (100 + percent) <= (size[x] + size[y]) * (100 - percent)
+    return out
+
+
+def forest(sketch: np.ndarray, size: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Edges that join all documents of one cell between which links are possible, directly or by others."""
+    edges, left = [], np.arange(len(size))
+    while len(left):
+        queue, left = [left[0]], left[1:]
+        while queue and len(left):
+            at = queue.pop()
+            met = possible(sketch, size, np.full(len(left), at), left, percent)
+            edges += [(at, x) for x in left[met]]
+            queue += left[met].tolist()
+            left = left[~met]
+    return edges
+
+
+def _possible_edges(percent: int):
+    """Edges within the cells of a partition that is sorted by key; a cell may go on over batches."""
+
+    def edges(key: np.ndarray, doc: np.ndarray, size: np.ndarray, sketch: np.ndarray) -> pa.RecordBatch:
+        start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+        n = np.diff(np.concatenate([start, [len(key)]]))
+        a, b = [], []
+        rank = np.arange(len(key)) - np.repeat(start, n)
+        ahead = np.where(np.repeat(n, n) <= FEW, np.repeat(n, n) - rank - 1, 0)
+        for shift in range(1, FEW):
+            i = np.flatnonzero(ahead >= shift)
+            i = i[possible(sketch, size, i, i + shift, percent)]
+            a.append(i)
+            b.append(i + shift)
+        for k in np.flatnonzero(n > FEW):
+            s = slice(start[k], start[k] + n[k])
+            found = np.array(forest(sketch[s], size[s], percent), np.int64).reshape(-1, 2) + start[k]
+            a.append(found[:, 0])
+            b.append(found[:, 1])
+        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
+        pairs = np.unique(np.stack([np.minimum(doc[a], doc[b]), np.maximum(doc[a], doc[b])], 1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["first", "doc_id"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "doc_id", "size")]
+            rows.append(np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH))
+            held = rows if held is None else [np.concatenate(x) for x in zip(held, rows)]
+            cut_at = int(np.searchsorted(held[0], held[0][-1]))
+            if cut_at:
+                yield edges(*(x[:cut_at] for x in held))
+                held = [x[cut_at:] for x in held]
+        if held is not None:
+            yield edges(*held)
+
+    return run
+
+
 def _with_sets(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -218,11 +307,24 @@ def region_links(sets: Sets, percent: int, leaf: int = LEAF) -> set[tuple[int, i
 
 def _join_region(percent: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.drop_duplicates("doc_id").sort_values("doc_id", ignore_index=True)
+        rows = rows.sort_values("doc_id", ignore_index=True)
         links = region_links(Sets(rows.shingles.tolist()), percent)
-        ids = rows.doc_id.to_numpy()
-        i, j = (np.array([x[k] for x in links], np.int64) for k in (0, 1))
-        return pd.DataFrame({"a": ids[i], "b": ids[j]})
+        copies, linked = rows.copies.to_numpy(), np.zeros(len(rows), np.int64)
+        root = list(range(len(rows)))
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        for i, j in links:
+            linked[i] += copies[j]
+            linked[j] += copies[i]
+            a, b = find(i), find(j)
+            root[max(a, b)] = min(a, b)
+        out = pd.DataFrame({"doc_id": rows.doc_id, "first": rows.doc_id.to_numpy()[[find(i) for i in range(len(rows))]], "linked": linked, "home": rows.home})
+        return out[(linked > 0) & (out.home | (out["first"] != out.doc_id))]
 
     return run
 
@@ -238,15 +340,20 @@ def _nearest(percent: int):
                 n = len(part)
                 d = sets.distances(np.arange(n), n + np.arange(len(pivots)))
                 i, k = np.nonzero(d - d.min(1, keepdims=True) <= 2 * (1 - percent / 100) + 1e-9)
-                out = part.iloc[i][["region", "doc_id", "copies", "shingles"]]
-                yield out.assign(region=mix(out.region.to_numpy().astype(np.uint64) * np.uint64(1000003) + k.astype(np.uint64) + np.uint64(1)).view(np.int64))
+                out = part.iloc[i][["region", "doc_id", "copies", "shingles", "home"]]
+                yield out.assign(home=out.home.to_numpy() & (d.argmin(1)[i] == k), region=mix(out.region.to_numpy().astype(np.uint64) * np.uint64(1000003) + k.astype(np.uint64) + np.uint64(1)).view(np.int64))
 
     return run
 
 
-def cut_regions(members: DataFrame, percent: int, region_rows: int, pivots: int = 16, rounds: int = 8) -> DataFrame:
-    """Distributed Voronoi rounds until no region has more than `region_rows` documents, or cells stop shrinking."""
-    schema = "region long, doc_id long, copies long, shingles binary"
+def cut_regions(members: DataFrame, percent: int, region_rows: int, pivots: int = 16, rounds: int = 8) -> tuple[DataFrame, bool]:
+    """Distributed Voronoi rounds until no region has more than `region_rows` documents, or cells stop shrinking.
+
+    The regions' members, and whether any region was cut. home: the cell is
+    that of the document's nearest pivot, in every round.
+    """
+    schema = "region long, doc_id long, copies long, shingles binary, home boolean"
+    members = members.withColumn("home", F.lit(True))
     largest = None
     for _ in range(rounds):
         sizes = members.groupBy("region").agg(F.count("*").alias("n"))
@@ -262,7 +369,7 @@ def cut_regions(members: DataFrame, percent: int, region_rows: int, pivots: int
         parted = dealt.where("pivots is not null").mapInPandas(_nearest(percent), schema)
         rest = members.join(over, "region", "left_anti").unionByName(dealt.where("pivots is null").drop("pivots"))
         members = cut(rest.unionByName(parted))
-    return members
+    return members, largest is not None
 
 
 def jaccard_join(docs: DataFrame, shingle: int = 5, percent: int = 80, region_rows: int = 20_000) -> DataFrame:
@@ -286,18 +393,24 @@ def jaccard_join(docs: DataFrame, shingle: int = 5, percent: int = 80, region_ro
     groups = cut(full.groupBy(*kinds).agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")))
     reps = small(groups.select(F.col("rep").alias("doc_id")), 16)
     cells = docs.join(reps, "doc_id", "left_semi").mapInArrow(_cells(shingle, percent), "doc_id long, key long")
-    edges = cells.selectExpr("doc_id", "min(doc_id) over (partition by key) as first").where("doc_id <> first").distinct()
+    met = cut(cells.selectExpr("doc_id", "key", "min(doc_id) over (partition by key) as low", "max(doc_id) over (partition by key) as high").where("low <> high").select("doc_id", "key"))
+    asked = small(cut(met.select("doc_id").distinct()), 8)
+    sketches = cut(docs.join(asked, "doc_id", "left_semi").mapInArrow(_sketches(shingle), "doc_id long, size long, sketch binary"))
+    dealt = met.join(small(sketches, 96), "doc_id").repartition("key").sortWithinPartitions("key")
+    edges = dealt.mapInArrow(_possible_edges(percent), "first long, doc_id long").distinct()
     regions = cut(connected_components(edges, "first", "doc_id"))
     wanted = regions.join(groups.select(F.col("rep").alias("node"), "copies"), "node").select(F.col("node").alias("doc_id"), F.col("component").alias("region"), "copies")
     wanted = small(cut(wanted), 32)
     members = docs.join(wanted, "doc_id").mapInArrow(_with_sets(shingle), "region long, doc_id long, copies long, shingles binary")
-    members = cut_regions(cut(members), percent, region_rows)
-    links = cut(members.groupBy("region").applyInPandas(_join_region(percent), "a long, b long").distinct())
-    parts = connected_components(links, "a", "b")
-    copies = groups.select(F.col("rep").alias("b"), "copies")
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    degree = both.join(copies, "b").groupBy("a").agg(F.sum("copies").alias("linked"))
-    named = groups.join(parts.withColumnRenamed("node", "rep"), "rep", "left").join(degree.withColumnRenamed("a", "rep"), "rep", "left")
+    members, divided = cut_regions(cut(members), percent, region_rows)
+    found = members.groupBy("region").applyInPandas(_join_region(percent), "doc_id long, first long, linked long, home boolean")
+    found = cut(found)
+    counts = found.where("home").select(F.col("doc_id").alias("rep"), "linked")
+    if divided:
+        parts = connected_components(found, "doc_id", "first").withColumnRenamed("node", "rep")
+    else:
+        parts = found.select(F.col("doc_id").alias("rep"), F.col("first").alias("component"))
+    named = groups.join(parts, "rep", "left").join(counts, "rep", "left")
     named = cut(named.select(*kinds, F.coalesce("component", "rep").alias("component_id"), (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
     out = sums.join(small(named, 48), kinds, "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))

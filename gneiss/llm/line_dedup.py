@@ -69,10 +69,10 @@ def with_distance(pairs: DataFrame, distance: int) -> DataFrame:
     """
     d, full = distance, (1 << (2 * distance + 1)) - 1
     steps = ", ".join(str(1 << k) for k in range(30, -1, -1))
-    room = "least(length(a), length(b)) div 4"
+    room = "least(length(ua), length(ub)) div 4"
     # equal ends, by bisection on whole code points of four bytes
-    head = f"aggregate(array({steps}), 0, (n, w) -> if(w <= {room} - n and substring(a, 4 * n + 1, 4 * w) = substring(b, 4 * n + 1, 4 * w), n + w, n))"
-    tail = f"aggregate(array({steps}), 0, (n, w) -> if(w <= {room} - head - n and substring(a, length(a) - 4 * (n + w) + 1, 4 * w) = substring(b, length(b) - 4 * (n + w) + 1, 4 * w), n + w, n))"
+    head = f"aggregate(array({steps}), 0, (n, w) -> if(w <= {room} - n and substring(ua, 4 * n + 1, 4 * w) = substring(ub, 4 * n + 1, 4 * w), n + w, n))"
+    tail = f"aggregate(array({steps}), 0, (n, w) -> if(w <= {room} - head - n and substring(ua, length(ua) - 4 * (n + w) + 1, 4 * w) = substring(ub, length(ub) - 4 * (n + w) + 1, 4 * w), n + w, n))"
     chars = "if(length({0}) = 0, cast(array() as array<binary>), transform(sequence(0, length({0}) div 4 - 1), i -> substring({0}, 4 * i + 1, 4)))"
     equal = " | ".join(f"if(try_element_at(p, s.j + {k}) = t, {1 << k}L, 0L)" for k in range(2 * d + 1))
     scan = f"""
@@ -84,14 +84,14 @@ def with_distance(pairs: DataFrame, distance: int) -> DataFrame:
               'vn', (shiftright(y.d0, 1) & (s.vn | ~(y.d0 | s.vp))) & {full}L,
               'score', s.score + if((y.d0 & {1 << (2 * d)}L) <> 0L, 0, 1)))[0]))"""
     below = f"({full >> 1}L & ~(shiftleft(1L, cast(greatest(m - n + {d}, 0) as int)) - 1L))"
-    out = pairs.withColumns({"a": F.encode("line_a", "UTF-32"), "b": F.encode("line_b", "UTF-32")})
+    out = pairs.withColumns({"ua": F.encode("line_a", "UTF-32"), "ub": F.encode("line_b", "UTF-32")})
     out = out.withColumn("head", F.expr(head)).withColumn("tail", F.expr(tail))
-    for c in "ab":
+    for c in ("ua", "ub"):
         out = out.withColumn(c, F.expr(f"substring({c}, 4 * head + 1, length({c}) - 4 * (head + tail))"))
-    out = out.withColumns({"m": F.expr("length(a) div 4"), "n": F.expr("length(b) div 4"), "p": F.expr(f"concat(array_repeat(cast(null as binary), {d}), {chars.format('a')})"), "t": F.expr(chars.format("b"))})
+    out = out.withColumns({"m": F.expr("length(ua) div 4"), "n": F.expr("length(ub) div 4"), "p": F.expr(f"concat(array_repeat(cast(null as binary), {d}), {chars.format('ua')})"), "t": F.expr(chars.format("ub"))})
     out = out.withColumn("s", F.when(F.abs(F.col("m") - F.col("n")) <= d, F.expr(scan)))
     edits = f"if(s is null or s.score > {3 * d}, {d + 1}, s.score - bit_count(s.vp & {below}) + bit_count(s.vn & {below}))"
-    return out.withColumn("edits", F.expr(edits)).drop("a", "b", "head", "tail", "m", "n", "p", "t", "s")
+    return out.withColumn("edits", F.expr(edits)).drop("ua", "ub", "head", "tail", "m", "n", "p", "t", "s")
 
 
 def _lines(docs: DataFrame, least: int) -> DataFrame:
