@@ -142,11 +142,11 @@ def line_links(docs: DataFrame, distance: int = 2, least: int = 32, crowd: int =
     texts = cut(texts)
     a, b = (texts.select(F.col("id").alias(x), F.col("check").alias(f"check_{x}"), F.col("line").alias(f"line_{x}")) for x in "ab")
     met = pairs.join(a, "a").join(b, "b").where(F.abs(F.length("line_a") - F.length("line_b")) <= distance)
-    links = with_distance(met, distance).where(F.col("edits") <= distance)
-    same_id = a.join(b.withColumnRenamed("b", "a2"), F.col("a") == F.col("a2")).where("check_a < check_b")
-    same_id = with_distance(same_id, distance).where(F.col("edits") <= distance)
-    cols = ["a as id_a", "check_a", "b as id_b", "check_b"]
-    return seen, cut(links.selectExpr(*cols).unionByName(same_id.selectExpr("a as id_a", "check_a", "a2 as id_b", "check_b")).distinct())
+    met = met.selectExpr("a as id_a", "check_a", "b as id_b", "check_b", "line_a", "line_b")
+    same_id = a.join(b.withColumnRenamed("b", "a2"), F.col("a") == F.col("a2")).where("check_a < check_b").selectExpr("a as id_a", "check_a", "a2 as id_b", "check_b", "line_a", "line_b")
+    # the checkpoint keeps the filter from being pushed below, where it would repeat the whole comparison
+    scored = cut(with_distance(met.unionByName(same_id), distance).drop("line_a", "line_b"))
+    return seen, scored.where(F.col("edits") <= distance).drop("edits").distinct()
 
 
 def repeated_lines(docs: DataFrame, distance: int = 2, least: int = 32) -> DataFrame:

@@ -11,6 +11,9 @@ from gneiss.llm.jaccard_join import jaccard_join
 from gneiss.llm.line_dedup import dedup_lines
 from gneiss.llm.mixing import mix_sources
 
+from gneiss.llm.quality_rules import quality_rules
+from gneiss.llm.warc import archive_round_trip
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -20,6 +23,14 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(_table(spark, sf_dir, "documents"), shingle=4, percent=85)
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(_table(spark, sf_dir, "documents"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(_table(spark, sf_dir, "pages"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_lines(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_removed", "n_links", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -30,7 +41,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_jaccard_join, op9_line_dedup, op10_mixing)}
+    return {f.__name__: f for f in (op2_jaccard_join, op6_quality_rules, op7_warc, op9_line_dedup, op10_mixing)}
 
 
 _OP2 = r"""
@@ -73,5 +84,14 @@ FROM p
 """
 
 
+_OP7 = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+f AS (SELECT d, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY d)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, p.d AS payload_digest,
+  CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN f ON p.d = f.d AND n >= 100
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_jaccard_join": _OP2, "op10_mixing": _OP10}
+    return {"op2_jaccard_join": _OP2, "op7_warc": _OP7, "op10_mixing": _OP10}
