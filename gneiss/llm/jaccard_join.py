@@ -13,7 +13,7 @@ on two levels.
    shingles fall into D + 1 + spare classes; by the pigeonhole principle a
    linked pair agrees wholly on more than `spare` classes. A class and its
    content are a pivot whose cell of radius 0 holds the documents that agree
-   with it. Weak contents, of no or one shingle, are left out of documents
+   with it. Weak contents, of no or few shingles, are left out of documents
    with at most `spare` of them, which still leaves a pair a cell in common.
    Inside a cell, documents are joined where counts of shingles by class (a
    contraction of the metric) don't rule a link out; documents so joined, over
@@ -68,16 +68,26 @@ def bands(most: int) -> np.ndarray:
     return np.array(out)
 
 
-def classes(upper: int, percent: int) -> tuple[int, int]:
-    """(number of classes, spare) of the band whose largest size is `upper`."""
+def classes(upper: int, percent: int) -> tuple[int, int, int]:
+    """(number of classes, spare, weak) of the band whose largest size is `upper`.
+
+    Contents of fewer than `weak` shingles are weak. The largest such bound is
+    taken that nearly all of the band's documents can afford, with at most half
+    as many classes again; small sets can't afford any.
+    """
     d = (upper + upper * 100 // percent) * (100 - percent) // (100 + percent)
-    spare = 0
-    for _ in range(6):
-        m = d + 1 + spare
-        load = upper / BAND / m
-        mean = m * np.exp(-load) * (1 + load)
-        spare = int(np.ceil(mean + 3 * np.sqrt(mean)))
-    return d + 1 + spare, spare
+    for weak in (2, 1):
+        spare = 0
+        for _ in range(12):
+            m = d + 1 + spare
+            load = upper / BAND / m
+            mean = m * np.exp(-load) * (1 if weak == 1 else 1 + load)
+            before, spare = spare, int(np.ceil(mean + 3.5 * np.sqrt(mean)))
+            if spare == before:
+                break
+        if spare == before and spare <= (d + 1) // 2:
+            return d + 1 + spare, spare, weak
+    return d + 1, 0, 0
 
 
 def _summary(n: int):
@@ -108,7 +118,7 @@ def cell_keys(h: np.ndarray, ptr: np.ndarray, percent: int) -> tuple[np.ndarray,
         rows = np.flatnonzero((sizes > 0) & (low <= b) & (home >= b))
         if b < 0 or not len(rows):
             continue
-        m, spare = classes(int(edges[b + 1]) - 1, percent)
+        m, spare, least = classes(int(edges[b + 1]) - 1, percent)
         if m - spare == 1:  # only equal sets can link
             continue
         k = sizes[rows]
@@ -120,7 +130,7 @@ def cell_keys(h: np.ndarray, ptr: np.ndarray, percent: int) -> tuple[np.ndarray,
         np.cumsum(content[at][order], out=total[1:])
         ends = np.cumsum(filled.ravel())
         sums = (total[ends] - total[ends - filled.ravel()]).reshape(len(rows), m)
-        weak = filled < 2
+        weak = filled < least
         wanted = ~weak | (weak.sum(1) > spare)[:, None]
         r, c = np.nonzero(wanted)
         which.append(rows[r])
