@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gneiss.llm.decontaminate import contamination_report
 from gneiss.llm.jaccard_join import jaccard_join
+from gneiss.llm.language_id import language_id
 from gneiss.llm.line_dedup import dedup_lines
 from gneiss.llm.mixing import mix_sources
 
 from gneiss.llm.quality_rules import quality_rules
+from gneiss.llm.token_counts import token_counts, unigram_vocabulary
 from gneiss.llm.warc import archive_round_trip
 
 
@@ -23,6 +26,14 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(_table(spark, sf_dir, "documents"), shingle=4, percent=85)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(_table(spark, sf_dir, "documents"))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents"))
 
@@ -31,6 +42,10 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(_table(spark, sf_dir, "pages"))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(_table(spark, sf_dir, "documents"), unigram_vocabulary())
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_lines(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_removed", "n_links", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -41,7 +56,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_jaccard_join, op6_quality_rules, op7_warc, op9_line_dedup, op10_mixing)}
+    return {f.__name__: f for f in (op2_jaccard_join, op4_language_id, op5_decontamination, op6_quality_rules, op7_warc, op8_token_counts, op9_line_dedup, op10_mixing)}
 
 
 _OP2 = r"""
