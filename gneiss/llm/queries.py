@@ -14,6 +14,7 @@ from gneiss.llm.line_dedup import dedup_lines
 from gneiss.llm.mixing import mix_sources
 
 from gneiss.llm.quality_rules import quality_rules
+from gneiss.llm.suffix_dedup import suffix_dedup
 from gneiss.llm.token_counts import token_counts, unigram_vocabulary
 from gneiss.llm.warc import archive_round_trip
 
@@ -26,6 +27,10 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(_table(spark, sf_dir, "documents"), shingle=4, percent=85)
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(_table(spark, sf_dir, "documents"), length=200).drop("kept")
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(_table(spark, sf_dir, "documents"))
 
@@ -56,7 +61,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_jaccard_join, op4_language_id, op5_decontamination, op6_quality_rules, op7_warc, op8_token_counts, op9_line_dedup, op10_mixing)}
+    return {f.__name__: f for f in (op2_jaccard_join, op3_suffix_dedup, op4_language_id, op5_decontamination, op6_quality_rules, op7_warc, op8_token_counts, op9_line_dedup, op10_mixing)}
 
 
 _OP2 = r"""
