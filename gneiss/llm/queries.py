@@ -11,6 +11,7 @@ from gneiss.llm.decontaminate import contamination_report
 from gneiss.llm.jaccard_join import jaccard_join
 from gneiss.llm.language_id import language_id
 from gneiss.llm.line_dedup import dedup_lines
+from gneiss.llm.lm_scoring import lm_scores
 from gneiss.llm.mixing import mix_sources
 
 from gneiss.llm.quality_rules import quality_rules
@@ -23,6 +24,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(_table(spark, sf_dir, "documents"))
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(_table(spark, sf_dir, "documents"), shingle=4, percent=85)
 
@@ -61,7 +66,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_jaccard_join, op3_suffix_dedup, op4_language_id, op5_decontamination, op6_quality_rules, op7_warc, op8_token_counts, op9_line_dedup, op10_mixing)}
+    return {f.__name__: f for f in (op1_lm_scoring, op2_jaccard_join, op3_suffix_dedup, op4_language_id, op5_decontamination, op6_quality_rules, op7_warc, op8_token_counts, op9_line_dedup, op10_mixing)}
 
 
 _OP2 = r"""
