@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gneiss.operators.lineage import cut, shared_dir
+from gneiss.operators.lineage import cut, shared_dir, small
 
 #: Payloads of fewer bytes are always stored whole.
 LEAST_REVISIT = 100
@@ -182,7 +182,7 @@ def write_warc(pages: DataFrame, uri: str, roll_bytes: int = 16 << 20, shard_byt
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("html"), F.octet_length(html).cast("long").alias("payload_bytes"), F.sha2(html, 256).alias("payload_digest"))
     firsts = rows.where(F.col("payload_bytes") >= LEAST_REVISIT).groupBy("payload_digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("payload_digest", "first")
-    rows = rows.join(firsts, "payload_digest", "left")
+    rows = rows.join(small(cut(firsts), 80), "payload_digest", "left")
     refers = F.when(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
     placed = shards(rows.withColumn("refers_to", refers).drop("first"), shard_bytes)
     store, path = file_system(uri)
