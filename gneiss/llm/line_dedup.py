@@ -6,8 +6,8 @@ occurs unchanged in the longer one, at an offset that the lengths bound; only
 those substrings are probed, each as one hashed key. Keys that a single line
 has are dropped; a key with more than `crowd` lines is refined by segments of
 what remains of its lines beside the shared segment, level by level, so that
-common beginnings and endings don't meet all pairs of their lines. Remaining
-pairs are verified on their texts: common ends are stripped by bisection, and
+common beginnings and endings don't meet all pairs of their lines. Pairs whose letter counts differ by more than
+the distance allows are not made. The others are verified on their texts: common ends are stripped by bisection, and
 the rest is compared by a bit-parallel banded edit distance, one word of
 2 * distance + 1 bits for each column.
 
@@ -26,6 +26,8 @@ from gneiss.operators.lineage import cut, small
 #: Lines that occur so often send their keys once, not from every occurrence.
 OFTEN = 64
 LEVELS = 4
+#: Letters whose counts are compared before a pair is made.
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
 def _segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
@@ -47,7 +49,7 @@ def _probes(distance: int) -> list[tuple[int, int, int]]:
 
 def segment_keys(lines: DataFrame, distance: int) -> DataFrame:
     """(id, key, own, at, width) for lines(id, line, own, base); own: the line's segment, not a probe of it."""
-    n = F.length("line")
+    n = F.col("n")  # counted once; as an expression it would be counted again in every place
     found = []
     for shorter, i, shift in _probes(distance):
         start, width = _segment(n - shorter, i, distance + 1)
@@ -56,7 +58,7 @@ def segment_keys(lines: DataFrame, distance: int) -> DataFrame:
         ok = (n >= shorter) & (at >= 0) & (at + width <= n)
         own = F.col("own") & F.lit(shorter == 0 and shift == 0)
         found.append(F.when(ok, F.struct(key.alias("key"), own.alias("own"), at.cast("int").alias("at"), width.cast("int").alias("width"))))
-    return lines.select("id", F.inline(F.array_compact(F.array(*found))))
+    return lines.withColumn("n", F.length("line")).select("id", F.inline(F.array_compact(F.array(*found))))
 
 
 def with_distance(pairs: DataFrame, distance: int) -> DataFrame:
@@ -100,30 +102,42 @@ def _lines(docs: DataFrame, least: int) -> DataFrame:
     return out.withColumns({"id": F.xxhash64("line"), "check": F.xxhash64(F.lit(7), "line")})
 
 
-def candidate_pairs(lines: DataFrame, often: DataFrame, distance: int, crowd: int) -> DataFrame:
-    """Distinct (a, b) of line ids that share a key; a's own segment is a probe of b."""
-    once = lines.groupBy("id").agg(F.min("line").alias("line"))
-    rare = lines.join(often, "id", "left_anti")
-    fresh = rare.select("id", "line").unionByName(once.join(often, "id", "left_semi").select("id", "line"))
-    keys = segment_keys(fresh.select("id", "line", F.lit(True).alias("own"), F.lit(0).cast("long").alias("base")), distance)
+def _meeting(keys: DataFrame) -> DataFrame:
+    """The keys that two or more lines have."""
+    met = keys.selectExpr("*", "min(id) over (partition by key) as low", "max(id) over (partition by key) as high").where("low <> high")
+    return cut(met.drop("low", "high").distinct())
+
+
+def _letter_counts(line: Column) -> Column:
+    """Counts of letters, at most 1023 each; an edit changes them by 2 in all at most."""
+    return F.array(*[F.least(F.length(line) - F.length(F.translate(line, c, "")), F.lit(1023)) for c in LETTERS])
+
+
+def candidate_pairs(met: DataFrame, texts: DataFrame, distance: int, crowd: int) -> DataFrame:
+    """Distinct pairs a < b of line ids that share a key, one's own segment being the other's probe.
+
+    met: the first level's keys; texts(id, line, counts): the lines that have them. Pairs
+    whose letter counts rule the distance out are not made.
+    """
+    counts = texts.select("id", "counts")
+    near = " + ".join(f"abs(x[{k}] - y[{k}])" for k in range(len(LETTERS)))
     pairs = []
     for level in range(LEVELS):
-        met = keys.selectExpr("*", "min(id) over (partition by key) as low", "max(id) over (partition by key) as high").where("low <> high").drop("low", "high")
-        met = cut(met.distinct())
-        crowds = met.groupBy("key").agg(F.countDistinct("id").alias("n")).where(F.col("n") > crowd).select("key") if level < LEVELS - 1 else None
-        if crowds is not None:
-            crowds = cut(crowds)
+        calm = met
+        if level < LEVELS - 1:
+            crowds = cut(met.groupBy("key").agg(F.countDistinct("id").alias("n")).where(F.col("n") > crowd).select("key"))
             busy = small(crowds, 8)
-        calm = met if crowds is None else met.join(busy, "key", "left_anti")
-        found = calm.where("own").selectExpr("key", "id as a").join(calm.selectExpr("key", "id as b"), "key").where("a <> b")
-        pairs.append(found.select("a", "b"))
-        if crowds is None or not crowds.count():
+            calm = met.join(busy, "key", "left_anti")
+        calm = cut(calm.join(counts, "id"))
+        left, right = calm.where("own").selectExpr("key", "id as a", "counts as x"), calm.selectExpr("key", "id as b", "counts as y")
+        found = left.join(right, (left.key == right.key) & F.expr(f"a <> b and coalesce({near} <= {2 * distance}, true)"))
+        pairs.append(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+        if level == LEVELS - 1 or not crowds.count():
             break
         crowded = met.join(busy, "key", "left_semi").withColumnRenamed("key", "base")
-        texts = lines.join(small(cut(crowded.select("id").distinct()), 8), "id", "left_semi").groupBy("id").agg(F.min("line").alias("line"))
-        rest = crowded.join(texts, "id").select("id", "own", "base", F.concat(F.substring(F.col("line"), F.lit(1), F.col("at")), F.substring(F.col("line"), F.col("at") + F.col("width") + 1, F.length("line"))).alias("line"))
-        keys = segment_keys(rest, distance)
-    return reduce(DataFrame.unionByName, pairs).distinct()
+        rest = F.concat(F.substring(F.col("line"), F.lit(1), F.col("at")), F.substring(F.col("line"), F.col("at") + F.col("width") + 1, F.length("line")))
+        met = _meeting(segment_keys(crowded.join(texts.select("id", "line"), "id").select("id", "own", "base", rest.alias("line")), distance))
+    return cut(reduce(DataFrame.unionByName, pairs).distinct())
 
 
 def line_links(docs: DataFrame, distance: int = 2, least: int = 32, crowd: int = 256) -> tuple[DataFrame, DataFrame]:
@@ -136,10 +150,14 @@ def line_links(docs: DataFrame, distance: int = 2, least: int = 32, crowd: int =
     lines = _lines(docs, least)
     seen = cut(lines.select("doc_id", "line_no", "id", "check"))
     often = small(cut(seen.groupBy("id").count().where(F.col("count") >= OFTEN).select("id")), 8)
-    pairs = cut(candidate_pairs(lines, often, distance, crowd))
-    asked = small(cut(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()), 8)
-    texts = lines.join(asked, "id", "left_semi").groupBy("id", "check").agg(F.min("line").alias("line"))
-    texts = cut(texts)
+    once = lines.join(often, "id", "left_semi").groupBy("id").agg(F.min("line").alias("line"))
+    fresh = lines.join(often, "id", "left_anti").select("id", "line").unionByName(once)
+    met = _meeting(segment_keys(fresh.select("id", "line", F.lit(True).alias("own"), F.lit(0).cast("long").alias("base")), distance))
+    asked = small(cut(met.select("id").distinct()), 8)
+    texts = cut(lines.join(asked, "id", "left_semi").groupBy("id", "check").agg(F.min("line").alias("line")))
+    # two texts of one id are never ruled out by counts
+    by_id = cut(texts.groupBy("id").agg(F.min("line").alias("line"), F.count("*").alias("k")).select("id", "line", F.when(F.col("k") == 1, _letter_counts(F.col("line"))).alias("counts")))
+    pairs = candidate_pairs(met, by_id, distance, crowd)
     a, b = (texts.select(F.col("id").alias(x), F.col("check").alias(f"check_{x}"), F.col("line").alias(f"line_{x}")) for x in "ab")
     met = pairs.join(a, "a").join(b, "b").where(F.abs(F.length("line_a") - F.length("line_b")) <= distance)
     met = met.selectExpr("a as id_a", "check_a", "b as id_b", "check_b", "line_a", "line_b")
