@@ -58,7 +58,7 @@ def segment_keys(lines: DataFrame, distance: int) -> DataFrame:
         ok = (n >= shorter) & (at >= 0) & (at + width <= n)
         own = F.col("own") & F.lit(shorter == 0 and shift == 0)
         found.append(F.when(ok, F.struct(key.alias("key"), own.alias("own"), at.cast("int").alias("at"), width.cast("int").alias("width"))))
-    return lines.withColumn("n", F.length("line")).select("id", F.inline(F.array_compact(F.array(*found))))
+    return lines.withColumn("n", F.length("line")).select("id", F.inline(F.array(*found))).where("key is not null")
 
 
 def with_distance(pairs: DataFrame, distance: int) -> DataFrame:
@@ -110,7 +110,7 @@ def _meeting(keys: DataFrame) -> DataFrame:
 
 def _letter_counts(line: Column) -> Column:
     """Counts of letters, at most 1023 each; an edit changes them by 2 in all at most."""
-    return F.array(*[F.least(F.length(line) - F.length(F.translate(line, c, "")), F.lit(1023)) for c in LETTERS])
+    return F.array(*[F.least(F.length(line) - F.length(F.replace(line, F.lit(c), F.lit(""))), F.lit(1023)) for c in LETTERS])
 
 
 def candidate_pairs(met: DataFrame, texts: DataFrame, distance: int, crowd: int) -> DataFrame:
