@@ -46,7 +46,7 @@ def cluster_names(names: DataFrame, settings: Settings | None = None, extra_edge
 
 def resolve_owners(permits: DataFrame, map_permits: DataFrame, properties: DataFrame, settings: Settings | None = None) -> dict[str, DataFrame]:
     """owners, map_property_owners, owner_name_map, owner_matches and owner_review_queue of permit and lot owners."""
-    p = permits.where("dup_rank = 1 and owner_name is not null").join(map_permits, F.col("permit_row_id") == F.col("source_record_id"))
+    p = permits.where("dup_rank = 1 and owner_name is not null").select("permit_row_id", "owner_name", "owner_is_org").join(map_permits, F.col("permit_row_id") == F.col("source_record_id"))
     p = p.groupBy(F.col("owner_name").alias("name"), F.col("owner_is_org").alias("is_org"), "property_id").agg(F.count("*").alias("n_records")).withColumn("source", F.lit("permits"))
     lots = properties.where("pluto_owner_name is not null and in_pluto")
     lots = lots.select(F.col("pluto_owner_name").alias("name"), F.col("pluto_owner_is_org").alias("is_org"), "property_id", F.greatest("n_source_records", F.lit(1)).alias("n_records"), F.lit("pluto").alias("source"))

@@ -42,7 +42,7 @@ def pair_score(street: Column, left: str, right: str, s: Settings) -> Column:
     (ya, yb), (xa, xb) = of("latitude"), of("longitude")
     far = haversine(ya, xa, yb, xb)
     near = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (s.geo_zero_credit_m - far) / (s.geo_zero_credit_m - s.geo_full_credit_m)))
-    geo = F.coalesce(F.round(near, 4), F.lit(0.5))
+    geo = F.when(far.isNotNull(), F.round(near, 4)).otherwise(0.5)
     fa, fb = of("street_suffix")
     suffix = F.when(fa.eqNullSafe(fb), 1.0).when(fa.isNull() | fb.isNull(), 0.5).otherwise(0.0)
     return F.round(s.weight_street * F.round(street, 4) + s.weight_zip * zips + s.weight_geo * geo + s.weight_suffix * suffix, 4)
