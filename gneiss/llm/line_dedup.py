@@ -30,13 +30,6 @@ LEVELS = 4
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
-def _segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
-    """0-based start and length of segment i of a line of `length`; later segments take the remainder."""
-    base, extra = F.floor(length / parts).cast("int"), (length % parts).cast("int")
-    longer = F.greatest(F.lit(0), F.lit(i - parts) + extra)
-    return base * i + longer, base + F.when(F.lit(i) >= F.lit(parts) - extra, 1).otherwise(0)
-
-
 def _probes(distance: int) -> list[tuple[int, int, int]]:
     """(length difference, segment, shift) of every substring to probe; (0, i, 0) are the line's own segments."""
     out = []
@@ -48,17 +41,20 @@ def _probes(distance: int) -> list[tuple[int, int, int]]:
 
 
 def segment_keys(lines: DataFrame, distance: int) -> DataFrame:
-    """(id, key, own, at, width) for lines(id, line, own, base); own: the line's segment, not a probe of it."""
-    n = F.col("n")  # counted once; as an expression it would be counted again in every place
-    found = []
-    for shorter, i, shift in _probes(distance):
-        start, width = _segment(n - shorter, i, distance + 1)
-        at = start + shift
-        key = F.xxhash64(F.substring(F.col("line"), at + 1, width), n - shorter, F.lit(i), F.col("base"))
-        ok = (n >= shorter) & (at >= 0) & (at + width <= n)
-        own = F.col("own") & F.lit(shorter == 0 and shift == 0)
-        found.append(F.when(ok, F.struct(key.alias("key"), own.alias("own"), at.cast("int").alias("at"), width.cast("int").alias("width"))))
-    return lines.withColumn("n", F.length("line")).select("id", F.inline(F.array(*found))).where("key is not null")
+    """(id, key, own, at, width) for lines(id, line, own, base); own: the line's segment, not a probe of it.
+
+    Segment i of a line of n code points has n div parts of them, one more for
+    the last n mod parts segments. The probes are rows of a literal, so that
+    one small formula makes all keys and its code stays within what the JVM
+    compiles.
+    """
+    parts = distance + 1
+    table = F.array(*[F.struct(*[F.lit(x).alias(c) for c, x in zip(("shorter", "i", "shift"), p)]) for p in _probes(distance)])
+    rows = lines.withColumn("n", F.length("line")).select("*", F.explode(table).alias("p")).select("id", "line", "base", "n", "own", "p.*").where("n >= shorter")
+    rows = rows.withColumns({"size": F.expr(f"cast((n - shorter) div {parts} as int)"), "extra": F.expr(f"(n - shorter) % {parts}")})
+    rows = rows.withColumns({"at": F.expr(f"size * i + greatest(0, i + extra - {parts}) + shift"), "width": F.expr(f"size + if(i >= {parts} - extra, 1, 0)")})
+    rows = rows.where("at >= 0 and at + width <= n")
+    return rows.selectExpr("id", "xxhash64(substring(line, at + 1, width), n - shorter, i, base) as key", "own and shorter = 0 and shift = 0 as own", "at", "width")
 
 
 def with_distance(pairs: DataFrame, distance: int) -> DataFrame:
