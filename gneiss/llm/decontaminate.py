@@ -33,7 +33,7 @@ from gneiss.llm.text import Texts, slices, texts_of
 from gneiss.operators.lineage import cut, small
 
 STRIDE = 64
-BLOCK = 16
+BLOCK = 4
 #: Items in one index; more are searched by further passes.
 INDEX_ITEMS = 50_000
 K1, B = 1.2, 0.75
