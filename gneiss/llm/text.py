@@ -7,13 +7,14 @@ so byte runs and character runs are the same words. Nulls are empty texts.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
 #: Most bytes of text handled at once; a longer text makes a slice of its own.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -154,6 +155,16 @@ def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES)
         a, b = texts.offsets[at], texts.offsets[end]
         yield batch.slice(at, end - at), Texts(texts.data[a:b], texts.offsets[at : end + 1] - a)
         at = end
+    trim()
+
+
+def trim() -> None:
+    """Gives freed memory back to the system; workers are reused, and what one operator needed once would stay theirs."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not every C library has it
+        pass
 
 
 def sum_by(ptr: np.ndarray, values: np.ndarray) -> np.ndarray:
