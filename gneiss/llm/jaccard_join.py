@@ -153,6 +153,8 @@ def _cells(n: int, percent: int):
 SKETCH = 64
 #: Cells of up to so many documents give all their possible pairs, larger ones a spanning forest of them.
 FEW = 12
+#: A cell of more documents isn't held in a task; its documents are joined without a look at their sketches.
+MOST_HELD = 100_000
 
 
 def _sketches(n: int):
@@ -194,7 +196,7 @@ def forest(sketch: np.ndarray, size: np.ndarray, percent: int) -> list[tuple[int
     return edges
 
 
-def _possible_edges(percent: int):
+def _possible_edges(percent: int, most_held: int = MOST_HELD):
     """Edges within the cells of a partition that is sorted by key; a cell may go on over batches."""
 
     def edges(key: np.ndarray, doc: np.ndarray, size: np.ndarray, sketch: np.ndarray) -> pa.RecordBatch:
@@ -217,20 +219,31 @@ def _possible_edges(percent: int):
         pairs = np.unique(np.stack([np.minimum(doc[a], doc[b]), np.maximum(doc[a], doc[b])], 1), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["first", "doc_id"])
 
+    def star(key: np.ndarray, doc: np.ndarray, size: np.ndarray, sketch: np.ndarray) -> pa.RecordBatch:
+        pairs = np.unique(np.stack([np.minimum(doc[0], doc[1:]), np.maximum(doc[0], doc[1:])], 1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["first", "doc_id"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        held, flat = None, False  # flat: the first cell was too large to hold, all its documents are joined with its first
         for batch in batches:
             if not batch.num_rows:
                 continue
             rows = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "doc_id", "size")]
             rows.append(np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH))
             held = rows if held is None else [np.concatenate(x) for x in zip(held, rows)]
+            if flat and held[0][0] != held[0][-1]:
+                end = int(np.searchsorted(held[0], held[0][0], side="right"))
+                yield star(*(x[:end] for x in held))
+                held, flat = [x[end:] for x in held], False
             cut_at = int(np.searchsorted(held[0], held[0][-1]))
             if cut_at:
                 yield edges(*(x[:cut_at] for x in held))
                 held = [x[cut_at:] for x in held]
+            if len(held[0]) > most_held:
+                yield star(*held)
+                held, flat = [x[:1] for x in held], True
         if held is not None:
-            yield edges(*held)
+            yield (star if flat else edges)(*held)
 
     return run
 
@@ -373,7 +386,9 @@ def cut_regions(members: DataFrame, percent: int, region_rows: int, pivots: int
         largest = top
         over = sizes.where(F.col("n") > region_rows).select("region")
         big = members.join(over, "region", "left_semi")
-        drawn = big.groupBy("region").agg(F.expr(f"slice(array_sort(collect_list(if(pmod(xxhash64(doc_id), greatest(1, {region_rows} div 64)) = 0, struct(xxhash64(doc_id) as h, shingles), null))), 1, {pivots})").alias("drawn"))
+        h = F.xxhash64("doc_id")
+        few = big.groupBy("region", F.pmod(h, F.lit(8 * pivots)).alias("draw")).agg(F.min(h).alias("h"), F.min_by("shingles", h).alias("shingles"))
+        drawn = few.groupBy("region").agg(F.expr(f"slice(array_sort(collect_list(struct(h, shingles))), 1, {pivots})").alias("drawn"))
         drawn = drawn.where("size(drawn) > 1").select("region", F.expr("transform(drawn, x -> x.shingles)").alias("pivots"))
         dealt = big.join(drawn, "region", "left")
         parted = dealt.where("pivots is not null").mapInPandas(_nearest(percent), schema)

@@ -42,6 +42,8 @@ from gneiss.operators.lineage import cut, small
 
 #: Segments of one collection; an anchor of more has a collection of its own.
 COLLECTION = 4096
+#: The windows of anchors with more different segments are compared by their hashes, over all tasks.
+CROWD = 20_000
 IN_MEMORY = 40_000_000
 NONE = np.uint16(0xFFFF)
 
@@ -262,6 +264,30 @@ def _compare(length: int):
     return run
 
 
+def _window_hashes(length: int):
+    """(anchor, seg, low, h0, h1) of every window of the segments."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, s, raw in zip(batch.column("anchor").to_pylist(), batch.column("seg").to_pylist(), batch.column("bytes").to_pylist()):
+                n = len(raw) - length + 1
+                h = np.frombuffer(b"".join(hashlib.blake2b(raw[k : k + length], digest_size=16).digest() for k in range(n)), np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, a)), pa.array(np.full(n, s)), pa.array(np.arange(n, dtype=np.int32)), pa.array(h[:, 0]), pa.array(h[:, 1])], ["anchor", "seg", "low", "h0", "h1"])
+
+    return run
+
+
+def repeated_windows(pieces: DataFrame, length: int, crowd: int) -> DataFrame:
+    """(anchor, seg, low, high): ranges of windows of pieces(anchor, seg, bytes, place) that other pieces have too."""
+    schema = "anchor long, seg long, low int, high int"
+    crowds = small(cut(pieces.groupBy("anchor").count().where(F.col("count") > crowd).select("anchor")), 8)
+    calm = pieces.join(crowds, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor")
+    windows = pieces.join(crowds, "anchor", "left_semi").mapInArrow(_window_hashes(length), "anchor long, seg long, low int, h0 long, h1 long")
+    twice = windows.groupBy("h0", "h1").count().where("count > 1").select("h0", "h1")
+    crowded = windows.join(twice, ["h0", "h1"], "left_semi").selectExpr("anchor", "seg", "low", "low as high")
+    return calm.mapInArrow(_compare(length), schema).unionByName(crowded)
+
+
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Overlapping and touching spans of a document joined; rows are sorted by doc_id and start."""
     for batch in batches:
@@ -277,7 +303,7 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(doc[first]), pa.array(a[first]), pa.array(((reach - number)[last]).astype(np.int64))], ["doc_id", "a", "b"])
 
 
-def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int, crowd: int = CROWD) -> DataFrame:
     """(doc_id, a, b): byte spans that cover what repeats in docs(doc_id, text); every text is distinct from the others."""
     rows = docs.mapInArrow(_anchors(length), "anchor long, seg long, doc_id long, first int, n int")
     met = rows.selectExpr("*", "min(seg) over (partition by anchor) as s0", "max(seg) over (partition by anchor) as s1", "count(1) over (partition by anchor) as times").where("times > 1")
@@ -288,8 +314,7 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
     asked = cut(asked)
     total = asked.agg(F.sum(F.size("asked"))).head()[0] or 0
     pieces = docs.join(F.broadcast(asked) if total * 48 <= 32 << 20 else asked, "doc_id").mapInArrow(_fetch(length), "anchor long, seg long, copies long, bytes binary, place int")
-    pieces = pieces.repartition("anchor").sortWithinPartitions("anchor")
-    found = pieces.mapInArrow(_compare(length), "anchor long, seg long, low int, high int")
+    found = repeated_windows(cut(pieces), length, crowd)
     own = found.join(mixed, ["anchor", "seg"]).selectExpr("doc_id", "cast(first + low as long) as a", f"cast(first + high + {length} as long) as b")
     copied = mixed.join(kinds.where("copies > 1").select("anchor", "seg"), ["anchor", "seg"], "left_semi")
     whole = met.where("alike").unionByName(copied).selectExpr("doc_id", "cast(first as long) as a", f"cast(first + n + {length} - 1 as long) as b")
@@ -319,7 +344,7 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(texts.lengths), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(sha, pa.string()), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
-def suffix_dedup(docs: DataFrame, length: int = 200) -> DataFrame:
+def suffix_dedup(docs: DataFrame, length: int = 200, crowd: int = CROWD) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the kept bytes of every document of docs(doc_id, text).
 
     Every byte goes that lies in a string of `length` bytes which also starts
@@ -337,7 +362,7 @@ def suffix_dedup(docs: DataFrame, length: int = 200) -> DataFrame:
     groups = sums.groupBy("t0", "t1", "n_bytes").agg(F.min("doc_id").alias("rep"), F.count("*").alias("k")).where("k > 1")
     copies = cut(sums.join(groups, ["t0", "t1", "n_bytes"]).select("doc_id", (F.col("doc_id") != F.col("rep")).alias("spare")))
     spare = small(copies.where("spare").select("doc_id"), 8)
-    spans = repeated_spans(docs.join(spare, "doc_id", "left_anti"), length)
+    spans = repeated_spans(docs.join(spare, "doc_id", "left_anti"), length, crowd)
     lists = spans.groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
     cuts = lists.join(copies.select("doc_id", F.lit(True).alias("all")), "doc_id", "full").select("doc_id", F.when(F.col("all").isNull(), F.col("spans")).alias("spans"), F.coalesce("all", F.lit(False)).alias("all"))
     cuts = cut(cuts)

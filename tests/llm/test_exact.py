@@ -36,9 +36,9 @@ def removed(docs, length):
     return out
 
 
-@pytest.mark.parametrize("length", [200, 40])
-def test_repeated_strings(spark, length):
-    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in X.suffix_dedup(documents(spark), length).collect()}
+@pytest.mark.parametrize(("length", "crowd"), [(200, X.CROWD), (40, X.CROWD), (40, 2)])
+def test_repeated_strings(spark, length, crowd):
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in X.suffix_dedup(documents(spark), length, crowd).collect()}
     assert got == removed([(i, t) for i, t, *_ in corpus()], length)
     assert sum(x[1] for x in got.values()) > 0
 

@@ -85,3 +85,32 @@ def test_regions_are_joined_exactly():
     sets = [frozenset(np.frombuffer(x, np.uint64).tolist()) for x in blobs]
     want = {(a, b) for b in range(len(sets)) for a in range(b) if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
     assert J.region_links(J.Sets(blobs), 85, leaf=10) == want
+
+
+def test_cells_over_many_batches():
+    r = random.Random(3)
+    rows = sorted((k, d, 10, bytes([r.randrange(2) for _ in range(10)] + [0] * (J.SKETCH - 10))) for k in range(6) for d in range(r.randrange(2, 40)))
+    table = pa.table(dict(zip(("key", "doc_id", "size", "sketch"), map(list, zip(*rows)))))
+
+    def parts(most, width):
+        root = {}
+        for b in J._possible_edges(1, most)(iter(table.to_batches(width))):
+            for a, c in zip(b.column("first").to_pylist(), b.column("doc_id").to_pylist()):
+                root.setdefault(a, set()).add(c)
+        return root
+
+    # with a threshold of 1 % all documents of a cell may link: held or not, they are joined
+    for most, width in ((10**6, 1000), (10**6, 7), (5, 4)):
+        joined = parts(most, width)
+        seen, queue = {0}, [0]
+        both = {}
+        for a, x in joined.items():
+            for c in x:
+                both.setdefault(a, set()).add(c)
+                both.setdefault(c, set()).add(a)
+        while queue:
+            for n in both.get(queue.pop(), ()):
+                if n not in seen:
+                    seen.add(n)
+                    queue.append(n)
+        assert seen == {d for _, d, _, _ in rows}
