@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gneiss.llm.text import Texts, slices, texts_of
+from gneiss.llm.text import Texts, slices, small_batches, texts_of
 from gneiss.operators.lineage import cut, small
 
 STRIDE = 64
@@ -160,6 +160,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5,
     are ids like others; null texts hold nothing. The benchmark is a table of
     test items: it is read to the driver and indexed in passes of INDEX_ITEMS.
     """
+    small_batches(docs.sparkSession)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     schema = f"doc_id {dict(docs.dtypes)['doc_id']}, item_id long, score double"

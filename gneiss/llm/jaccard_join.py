@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gneiss.llm.text import Texts, mix, slices
+from gneiss.llm.text import Texts, mix, slices, small_batches, trim
 from gneiss.operators.components import connected_components
 from gneiss.operators.lineage import cut, small
 
@@ -328,26 +328,46 @@ def region_links(sets: Sets, percent: int, leaf: int = LEAF) -> set[tuple[int, i
     return found
 
 
-def _join_region(percent: int):
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("doc_id", ignore_index=True)
-        links = region_links(Sets(rows.shingles.tolist()), percent)
-        copies, linked = rows.copies.to_numpy(), np.zeros(len(rows), np.int64)
-        root = list(range(len(rows)))
+def join_region(rows: pa.Table, percent: int) -> pa.RecordBatch:
+    """(doc_id, first, linked, home) of one region's documents: the first of each component, and the weight of its links."""
+    rows = rows.sort_by("doc_id")
+    doc, home, copies = rows.column("doc_id").to_numpy(), rows.column("home").to_numpy(), rows.column("copies").to_numpy()
+    linked, root = np.zeros(len(doc), np.int64), list(range(len(doc)))
 
-        def find(x: int) -> int:
-            while root[x] != x:
-                root[x] = root[root[x]]
-                x = root[x]
-            return x
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
 
-        for i, j in links:
-            linked[i] += copies[j]
-            linked[j] += copies[i]
-            a, b = find(i), find(j)
-            root[max(a, b)] = min(a, b)
-        out = pd.DataFrame({"doc_id": rows.doc_id, "first": rows.doc_id.to_numpy()[[find(i) for i in range(len(rows))]], "linked": linked, "home": rows.home})
-        return out[(linked > 0) & (out.home | (out["first"] != out.doc_id))]
+    for i, j in region_links(Sets(rows.column("shingles").to_pylist()), percent):
+        linked[i] += copies[j]
+        linked[j] += copies[i]
+        a, b = find(i), find(j)
+        root[max(a, b)] = min(a, b)
+    first = doc[[find(i) for i in range(len(doc))]]
+    out = (linked > 0) & (home | (first != doc))
+    return pa.RecordBatch.from_arrays([pa.array(doc[out]), pa.array(first[out]), pa.array(linked[out]), pa.array(home[out])], ["doc_id", "first", "linked", "home"])
+
+
+def _join_regions(percent: int):
+    """Regions of a partition that is sorted by region, one at a time; a region may go on over batches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            region = batch.column("region").to_numpy()
+            cuts = [0, *(np.flatnonzero(region[1:] != region[:-1]) + 1).tolist(), len(region)]
+            for a, b in zip(cuts, cuts[1:]):
+                part = batch.slice(a, b - a)
+                if held and part.num_rows and held[-1].column("region")[0] != part.column("region")[0]:
+                    yield join_region(pa.Table.from_batches(held), percent)
+                    held = []
+                if part.num_rows:
+                    held.append(part)
+        if held:
+            yield join_region(pa.Table.from_batches(held), percent)
+        trim()
 
     return run
 
@@ -409,6 +429,7 @@ def jaccard_join(docs: DataFrame, shingle: int = 5, percent: int = 80, region_ro
     smallest of their texts is the document's, and it has one row. An empty
     table gives an empty result; other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
     if docs.groupBy("doc_id").count().where("count > 1").limit(1).count():
         docs = docs.groupBy("doc_id").agg(F.min("text").alias("text"))
@@ -428,7 +449,7 @@ def jaccard_join(docs: DataFrame, shingle: int = 5, percent: int = 80, region_ro
     wanted = small(cut(wanted), 32)
     members = docs.join(wanted, "doc_id").mapInArrow(_with_sets(shingle), "region long, doc_id long, copies long, shingles binary")
     members, divided = cut_regions(cut(members), percent, region_rows)
-    found = members.groupBy("region").applyInPandas(_join_region(percent), "doc_id long, first long, linked long, home boolean")
+    found = members.repartition("region").sortWithinPartitions("region").mapInArrow(_join_regions(percent), "doc_id long, first long, linked long, home boolean")
     found = cut(found)
     counts = found.where("home").select(F.col("doc_id").alias("rep"), "linked")
     if divided:

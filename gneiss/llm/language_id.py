@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gneiss.llm.text import Texts, slices
+from gneiss.llm.text import Texts, slices, small_batches
 
 #: The byte that texts are taken to follow.
 BEFORE = 10
@@ -177,6 +177,7 @@ def language_id(docs: DataFrame, folds: int = 4, held: int = 2, most_grams: int
     Null doc_ids are not held out. Other columns are ignored, an empty table
     gives an empty result.
     """
+    small_batches(docs.sparkSession)
     trees = fit_trees(docs.where(fold(F.col("doc_id"), folds) != held), most_grams)
     out = identify(docs, trees)
     return out.select("doc_id", (fold(F.col("doc_id"), folds) == held).alias("held_out"), "lang_pred", "score")

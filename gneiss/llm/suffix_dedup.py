@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gneiss.llm.text import Texts, mix, powers, slices
+from gneiss.llm.text import Texts, mix, powers, slices, small_batches
 from gneiss.operators.lineage import cut, small
 
 #: Segments of one collection; an anchor of more has a collection of its own.
@@ -354,6 +354,7 @@ def suffix_dedup(docs: DataFrame, length: int = 200, crowd: int = CROWD) -> Data
     has one row. Texts of fewer bytes than `length` lose nothing. Other columns
     are ignored; an empty table gives an empty result.
     """
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).where("doc_id is not null")
     if docs.groupBy("doc_id").count().where("count > 1").limit(1).count():
         docs = docs.groupBy("doc_id").agg(F.min("text").alias("text"))

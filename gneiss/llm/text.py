@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 #: Most bytes of text handled at once; a longer text makes a slice of its own.
 SLICE_BYTES = 1 << 20
@@ -45,6 +46,17 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
+#: Rows of an Arrow batch; texts are long, and a batch is held by the JVM and by the worker at once.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's rows per Arrow batch, unless it has been set below already."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 class Texts:
     """Some texts as one byte buffer; text i is data[offsets[i]:offsets[i + 1]]."""
 

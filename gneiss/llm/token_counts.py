@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gneiss.llm.text import Texts, slices, sum_by
+from gneiss.llm.text import Texts, slices, small_batches, sum_by
 
 MARK = "▁"
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
@@ -122,6 +122,7 @@ def token_counts(docs: DataFrame, vocabulary: list[tuple[str, float]]) -> DataFr
     are ignored; repeated rows are counted each; an empty table gives an empty
     result.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
