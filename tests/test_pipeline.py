@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import json
+import logging
 from datetime import datetime
 
 import pytest
 
 from gneiss.config import IngestSettings
-from gneiss.plans import marts, pipeline
+from gneiss.plans import dashboard, marts, pipeline, reports
 from gneiss.sources import api
 from gneiss.sources.registry import SOURCES, source
 from gneiss.streaming.ingest import stream_pages
@@ -49,6 +50,14 @@ def test_whole_run(spark, tmp_path):
     assert marts.lineage_drilldown(w.read("marts.bridge_property_source"), w.read("marts.dim_property"), props).count() == 8
     # a second load of the same pages adds nothing
     assert pipeline.ingest(w, "nyc_311", f"{raw}/nyc_311") == 0
+    cards = dashboard.overview(w, datetime(2026, 7, 1), "QUEENS")
+    assert len(cards) == 9 and cards["complaints_12m"].head().n == 6 and cards["priority_properties"].count() == 1
+    health = dashboard.health(w)
+    assert health["rejected"].head().rejected_records == 1 and health["freshness"].count() == 6 and health["reviews"].count() == 3
+    (tmp_path / "pairs.csv").write_text("name_a,name_b,is_org,label,note\nACME LLC,ACME,1,match,\nJANE DOE,JOHN ROE,0,nonmatch,\n")
+    text = reports.evaluation(w, str(tmp_path / "pairs.csv"))
+    assert "address_exact" in text and "| 1 | 0 | 0 | 1 |" in text
+    assert reports.benchmark(w)["resolve"]["records"] > 0
     steps = {r.step: r.status for r in w.runs.state().collect()}
     assert set(steps.values()) == {"success"} and "marts" in steps
 
@@ -113,3 +122,14 @@ def test_streaming_load(spark, tmp_path):
     (pages / "2.json").write_text('{"unique_key": "1", ":updated_at": "2026-01-01T00:00:00Z"}\n{"unique_key": "1", ":updated_at": "2026-01-02T00:00:00Z"}')
     assert load() == 2
     assert spark.read.parquet(str(tmp_path / "bad")).count() == 1
+
+
+def test_profile_reports(spark):
+    df = spark.createDataFrame([("5 OAK ST", "2024-01-01", "40.7", "-74"), ("6 OAK STREET", "2999-01-01", "10", "10"), ("7 ELM RD", "bad", None, None)], "address string, issue_date string, latitude string, longitude string")
+    d = reports.date_ranges(df, "2026-01-01").head()
+    assert (d.unparseable, d.future) == (1, 1)
+    assert tuple(reports.coordinate_check(df).head()) == (1, 1)
+    assert [r.suffix for r in reports.suffix_spellings(df, "address").collect()] == ["STREET"]
+    assert "| 7 ELM RD | bad |  |  |" in reports.markdown(df, "x")
+    line = json.loads(reports.JsonLines().format(logging.makeLogRecord({"msg": "m", "rows": 3})))
+    assert line["rows"] == 3 and line["message"] == "m"
