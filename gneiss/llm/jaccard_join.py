@@ -297,10 +297,10 @@ class Sets:
         return 1 - c / np.maximum(self.sizes[rows][:, None] + self.sizes[cols] - c, 1)
 
 
-def region_links(sets: Sets, percent: int, leaf: int = LEAF) -> set[tuple[int, int]]:
-    """All linked pairs (i < j) of a region: recursive Voronoi cells with triangle-inequality windows."""
-    reach = 1 - percent / 100
-    found: set[tuple[int, int]] = set()
+def region_links(sets: Sets, percent: int, leaf: int = LEAF) -> tuple[np.ndarray, np.ndarray]:
+    """All linked pairs i < j of a region: recursive Voronoi cells with triangle-inequality windows."""
+    reach, n = 1 - percent / 100, len(sets.sizes)
+    found = [np.zeros(0, np.int64)]
 
     def compare(rows: np.ndarray) -> None:
         for a in range(0, len(rows), 512):
@@ -308,8 +308,8 @@ def region_links(sets: Sets, percent: int, leaf: int = LEAF) -> set[tuple[int, i
                 x, y = rows[a : a + 512], rows[b : b + 512]
                 c = sets.common(x, y)
                 u = sets.sizes[x][:, None] + sets.sizes[y] - c
-                for i, j in zip(*np.nonzero((100 * c >= percent * u) & (x[:, None] < y if a == b else x[:, None] != y))):
-                    found.add((min(x[i], y[j]), max(x[i], y[j])))
+                i, j = np.nonzero((100 * c >= percent * u) & (x[:, None] < y if a == b else x[:, None] != y))
+                found.append(np.minimum(x[i], y[j]) * n + np.maximum(x[i], y[j]))
 
     def cut_up(rows: np.ndarray, depth: int) -> None:
         if len(rows) <= leaf:
@@ -324,28 +324,32 @@ def region_links(sets: Sets, percent: int, leaf: int = LEAF) -> set[tuple[int, i
             cut_up(rows[inside[:, k]], depth + 1)
 
     if len(sets.sizes):
-        cut_up(np.arange(len(sets.sizes)), 0)
-    return found
+        cut_up(np.arange(n), 0)
+    pairs = np.unique(np.concatenate(found))  # a pair may lie in several cells
+    return pairs // max(n, 1), pairs % max(n, 1)
+
+
+def least_reachable(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """For each of n nodes the smallest that the pairs (i, j) reach from it."""
+    label = np.arange(n)
+    while True:
+        m = np.minimum(label[i], label[j])
+        new = label.copy()
+        np.minimum.at(new, i, m)
+        np.minimum.at(new, j, m)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
 
 
 def join_region(rows: pa.Table, percent: int) -> pa.RecordBatch:
     """(doc_id, first, linked, home) of one region's documents: the first of each component, and the weight of its links."""
     rows = rows.sort_by("doc_id")
     doc, home, copies = rows.column("doc_id").to_numpy(), rows.column("home").to_numpy(), rows.column("copies").to_numpy()
-    linked, root = np.zeros(len(doc), np.int64), list(range(len(doc)))
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    for i, j in region_links(Sets(rows.column("shingles").to_pylist()), percent):
-        linked[i] += copies[j]
-        linked[j] += copies[i]
-        a, b = find(i), find(j)
-        root[max(a, b)] = min(a, b)
-    first = doc[[find(i) for i in range(len(doc))]]
+    i, j = region_links(Sets(rows.column("shingles").to_pylist()), percent)
+    linked = (np.bincount(i, copies[j], len(doc)) + np.bincount(j, copies[i], len(doc))).astype(np.int64)
+    first = doc[least_reachable(len(doc), i, j)]
     out = (linked > 0) & (home | (first != doc))
     return pa.RecordBatch.from_arrays([pa.array(doc[out]), pa.array(first[out]), pa.array(linked[out]), pa.array(home[out])], ["doc_id", "first", "linked", "home"])
 

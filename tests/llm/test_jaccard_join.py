@@ -84,7 +84,9 @@ def test_regions_are_joined_exactly():
     blobs = [h[a:b].tobytes() for a, b in zip(ptr, ptr[1:])]
     sets = [frozenset(np.frombuffer(x, np.uint64).tolist()) for x in blobs]
     want = {(a, b) for b in range(len(sets)) for a in range(b) if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
-    assert J.region_links(J.Sets(blobs), 85, leaf=10) == want
+    i, j = J.region_links(J.Sets(blobs), 85, leaf=10)
+    assert len(i) == len(want) and set(zip(i.tolist(), j.tolist())) == want
+    assert J.least_reachable(6, np.array([4, 3, 1]), np.array([5, 4, 2])).tolist() == [0, 1, 1, 3, 3, 3]
 
 
 def test_cells_over_many_batches():
