@@ -53,7 +53,7 @@ def test_whole_run(spark, tmp_path):
     cards = dashboard.overview(w, datetime(2026, 7, 1), "QUEENS")
     assert len(cards) == 9 and cards["complaints_12m"].head().n == 6 and cards["priority_properties"].count() == 1
     health = dashboard.health(w)
-    assert health["rejected"].head().rejected_records == 1 and health["freshness"].count() == 6 and health["reviews"].count() == 3
+    assert health["rejected"].head().rejected_records == 2 and health["freshness"].count() == 6 and health["reviews"].count() == 3
     (tmp_path / "pairs.csv").write_text("name_a,name_b,is_org,label,note\nACME LLC,ACME,1,match,\nJANE DOE,JOHN ROE,0,nonmatch,\n")
     text = reports.evaluation(w, str(tmp_path / "pairs.csv"))
     assert "address_exact" in text and "| 1 | 0 | 0 | 1 |" in text
