@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import sys
 from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+HERE = str(Path(__file__).resolve().parents[1])
+sys.path.insert(0, HERE)
+os.environ["PYTHONPATH"] = os.pathsep.join(x for x in (HERE, os.environ.get("PYTHONPATH")) if x)  # for the workers
 
 
 @pytest.fixture(scope="session")
