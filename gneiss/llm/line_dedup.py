@@ -11,7 +11,8 @@ the distance allows are not made. The others are verified on their texts: common
 the rest is compared by a bit-parallel banded edit distance, one word of
 2 * distance + 1 bits for each column.
 
-Lines are compared by code points.
+Lines are compared by code points. Two edits are too many for short lines;
+these are compared exactly, where asked for.
 """
 
 from __future__ import annotations
@@ -94,7 +95,12 @@ def with_distance(pairs: DataFrame, distance: int) -> DataFrame:
 
 def _lines(docs: DataFrame, least: int) -> DataFrame:
     """(doc_id, line_no, line, id, check) of the lines of at least `least` code points."""
-    out = docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")).where(F.length("line") >= least)
+    return _named(docs, F.length("line") >= least)
+
+
+def _named(docs: DataFrame, which: Column) -> DataFrame:
+    """(doc_id, line_no, line, id, check) of the lines that meet `which`."""
+    out = docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")).where(which)
     return out.withColumns({"id": F.xxhash64("line"), "check": F.xxhash64(F.lit(7), "line")})
 
 
@@ -163,14 +169,18 @@ def line_links(docs: DataFrame, distance: int = 2, least: int = 32, crowd: int =
     return seen, scored.where(F.col("edits") <= distance).drop("edits").distinct()
 
 
-def repeated_lines(docs: DataFrame, distance: int = 2, least: int = 32) -> DataFrame:
+def repeated_lines(docs: DataFrame, distance: int = 2, least: int = 32, short: bool = False) -> DataFrame:
     """(doc_id, line_no, links) of the lines that line dedup removes, in one row each.
 
     In the order of (doc_id, line_no), a line goes if its text, or one within
     `distance` edits of it, came before; links counts the other texts within
-    reach. Shorter lines than `least` always stay.
+    reach. Shorter lines than `least` always stay, or with `short` go if they
+    have a word and the same line came before.
     """
     seen, links = line_links(docs, distance, least)
+    if short:
+        word = F.col("line").rlike(r"[^\x20\x09-\x0D]")
+        seen = seen.unionByName(cut(_named(docs, (F.length("line") < least) & word).select("doc_id", "line_no", "id", "check")))
     texts = cut(seen.groupBy("id", "check").agg(F.min(F.struct("doc_id", "line_no")).alias("first")))
     both = links.unionByName(links.selectExpr("id_b as id_a", "check_b as check_a", "id_a as id_b", "check_a as check_b"))
     firsts = [texts.select(F.col("id").alias(f"id_{x}"), F.col("check").alias(f"check_{x}"), F.col("first").alias(f"first_{x}")) for x in "ab"]
@@ -181,10 +191,11 @@ def repeated_lines(docs: DataFrame, distance: int = 2, least: int = 32) -> DataF
     return where.where((F.struct("doc_id", "line_no") != F.col("first")) | F.coalesce("later", F.lit(False))).select("doc_id", "line_no", F.coalesce("links", F.lit(0)).alias("links"))
 
 
-def dedup_lines(docs: DataFrame, distance: int = 2, least: int = 32) -> DataFrame:
+def dedup_lines(docs: DataFrame, distance: int = 2, least: int = 32, short: bool = False) -> DataFrame:
     """docs(doc_id, text, ...) with n_lines, n_removed and n_links added and repeated lines taken out of text.
 
-    Lines are what "\n" parts; a null text stays null with 0 lines, an empty
+    `short`: lines of less than `least` code points with a word are compared
+    too, exactly. Lines are what "\n" parts; a null text stays null with 0 lines, an empty
     one has one empty line. n_links sums, over the removed lines, the other
     texts within reach. Rows with a null doc_id, and all rows of a doc_id that
     several rows have, pass unchanged. A text of which no line is left is empty.
@@ -196,7 +207,7 @@ def dedup_lines(docs: DataFrame, distance: int = 2, least: int = 32) -> DataFram
     ids = docs.groupBy("doc_id").count()
     several = ids.where("count > 1 or doc_id is null").select("doc_id")
     one = docs if not several.limit(1).count() else docs.join(several, docs.doc_id.eqNullSafe(several.doc_id), "left_anti")
-    gone = repeated_lines(one.select("doc_id", F.col("text").cast("string").alias("text")), distance, least)
+    gone = repeated_lines(one.select("doc_id", F.col("text").cast("string").alias("text")), distance, least, short)
     gone = cut(gone.groupBy(F.col("doc_id").alias("gone_id")).agg(F.array_sort(F.collect_list("line_no")).alias("gone"), F.sum("links").alias("n_links")))
     out = docs.join(small(gone, 96), F.col("doc_id") == F.col("gone_id"), "left")
     parts = F.split("text", "\n", -1)

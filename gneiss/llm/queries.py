@@ -57,7 +57,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = dedup_lines(_table(spark, sf_dir, "documents"))
+    out = dedup_lines(_table(spark, sf_dir, "documents"), short=True)
     return out.select("doc_id", "n_lines", "n_removed", "n_links", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 

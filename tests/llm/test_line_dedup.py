@@ -86,3 +86,19 @@ def test_awkward_rows(spark):
     line = "a line that is long enough to be looked at by the operator"
     twice = spark.createDataFrame([(1, line), (1, line), (None, line), (2, line)], "doc_id long, text string")
     assert sorted((r.doc_id or 0, r.text) for r in L.dedup_lines(twice).collect()) == [(0, line), (1, line), (1, line), (2, line)]
+
+
+def test_short_repeats_go_exactly(spark):
+    long = "a line that is long enough to be looked at by the operator"
+    docs = [(1, "All rights reserved.\n\nAll rights reserved.\n \n \nx"), (2, f"All rights reserved\nx\n{long}\n日本語。"), (3, f"{long}s\n日本語。\nAll rights reserved."), (4, None), (5, "x")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: (r.n_removed, r.text) for r in L.dedup_lines(df, short=True).collect()}
+    assert got == {1: (1, "All rights reserved.\n\n \n \nx"), 2: (1, f"All rights reserved\n{long}\n日本語。"), 3: (3, ""), 4: (0, None), 5: (1, "")}
+
+
+def test_query_compares_short_lines(spark, tmp_path):
+    from gneiss.llm.queries import op9_line_dedup
+
+    df = documents(spark, [(1, "Short line.\nown words", None, None, 21), (2, "Short line.\nother words", None, None, 23)])
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id: r.n_removed for r in op9_line_dedup(spark, str(tmp_path)).collect()} == {1: 0, 2: 1}
