@@ -21,6 +21,9 @@ can decide are found first:
    repeats. The transform and prefixes of a collection are flat sequential
    arrays, mapped from files of the task once a collection outgrows
    `IN_MEMORY` suffixes.
+3. Crowds. Anchors with more than `CROWD` different segments go into no
+   collection: 128-bit hashes of their windows are grouped over all tasks, and
+   windows whose hash occurs twice repeat.
 
 Documents that equal another wholly are taken out before (they repeat as a
 whole) but for one, so that groups of copies never meet.
