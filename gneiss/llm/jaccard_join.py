@@ -22,8 +22,12 @@ on two levels.
    documents go to their nearest pivot's cell and, where d(x, p) - d(x, nearest)
    is at most twice the threshold distance, into p's cell as well; cells are
    cut again until they are small or stop shrinking, and leaves compare their
-   documents by exact set products. A region of more than `region_rows`
-   documents is cut this way by distributed rounds first; a document's links
+   documents by exact set products, block by block: links are counted and
+   components joined as blocks go by, and no pair is kept. Where cells stop
+   shrinking, documents within half the threshold distance of a pivot are
+   linked by the triangle inequality, without comparison. A region that is
+   too large for a task is cut this way by distributed rounds first, and what
+   they can't cut is dealt in parts of which each two meet; a document's links
    are counted in the cell of its nearest pivot, where all its partners are.
 
 Equal sets are one document with a multiplicity, so copies are never paired.
@@ -45,7 +49,11 @@ from gneiss.operators.components import connected_components
 from gneiss.operators.lineage import cut, small
 
 LEAF = 192
+#: Documents on either side of one block of comparisons.
+BLOCK = 512
 BAND = 1.4
+#: A region of more documents or more bytes of shingles is cut or dealt in parts before a task holds it.
+REGION_ROWS, REGION_BYTES = 4000, 24 << 20
 
 
 def distinct_sets(texts: Texts, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -297,61 +305,136 @@ class Sets:
         return 1 - c / np.maximum(self.sizes[rows][:, None] + self.sizes[cols] - c, 1)
 
 
-def region_links(sets: Sets, percent: int, leaf: int = LEAF) -> tuple[np.ndarray, np.ndarray]:
-    """All linked pairs i < j of a region: recursive Voronoi cells with triangle-inequality windows."""
-    reach, n = 1 - percent / 100, len(sets.sizes)
-    found = [np.zeros(0, np.int64)]
+class Links:
+    """Link counts and components of one region's documents, gathered block by block; no pair is ever kept.
 
-    def compare(rows: np.ndarray) -> None:
-        for a in range(0, len(rows), 512):
-            for b in range(a, len(rows), 512):
-                x, y = rows[a : a + 512], rows[b : b + 512]
-                c = sets.common(x, y)
-                u = sets.sizes[x][:, None] + sets.sizes[y] - c
-                i, j = np.nonzero((100 * c >= percent * u) & (x[:, None] < y if a == b else x[:, None] != y))
-                found.append(np.minimum(x[i], y[j]) * n + np.maximum(x[i], y[j]))
+    A document's links are counted only where it is at home: in the cell of its
+    nearest pivot, which holds all its partners.
+    """
 
-    def cut_up(rows: np.ndarray, depth: int) -> None:
+    def __init__(self, sets: Sets, copies: np.ndarray, percent: int):
+        self.sets, self.copies, self.percent, self.reach = sets, copies, percent, 1 - percent / 100
+        self.linked, self.first = np.zeros(len(copies), np.int64), np.arange(len(copies))
+
+    def hook(self, i: np.ndarray, j: np.ndarray) -> None:
+        """Joins the components of i[k] and j[k]; first[x] is always the smallest node of x's component."""
+        while True:
+            a, b = self.first[i], self.first[j]
+            apart = a != b
+            if not apart.any():
+                return
+            i, j, a, b = (x[apart] for x in (i, j, a, b))
+            np.minimum.at(self.first, np.maximum(a, b), np.minimum(a, b))
+            while ((up := self.first[self.first]) != self.first).any():
+                self.first = up
+
+    def blocks(self, x: np.ndarray, y: np.ndarray, home: np.ndarray) -> None:
+        """Compares the documents x with y, which is x itself or disjoint from it."""
+        same = x is y
+        for a in range(0, len(x), BLOCK):
+            for b in range(a if same else 0, len(y), BLOCK):
+                i, j = x[a : a + BLOCK], y[b : b + BLOCK]
+                c = self.sets.common(i, j)
+                met = 100 * c >= self.percent * (self.sets.sizes[i][:, None] + self.sets.sizes[j] - c)
+                inner = same and a == b
+                if inner:
+                    np.fill_diagonal(met, False)
+                self.linked[i] += np.where(home[i], met @ self.copies[j], 0)
+                if not inner:
+                    self.linked[j] += np.where(home[j], self.copies[i] @ met, 0)
+                r, s = np.nonzero(np.triu(met) if inner else met)
+                self.hook(i[r], j[s])
+
+    def between(self, x: np.ndarray, y: np.ndarray, home: np.ndarray) -> None:
+        """As blocks(), but without pairs of two documents that are at home elsewhere."""
+        hx, ox = x[home[x]], x[~home[x]]
+        if x is y:
+            self.blocks(hx, hx, home)
+            return self.blocks(hx, ox, home)
+        self.blocks(hx, y, home)
+        self.blocks(ox, y[home[y]], home)
+
+    def all_linked(self, x: np.ndarray, y: np.ndarray, home: np.ndarray) -> None:
+        """Counts every pair of x and y as linked, without a comparison."""
+        own = self.copies[x] if x is y else 0
+        self.linked[x] += np.where(home[x], self.copies[y].sum() - own, 0)
+        if x is not y:
+            self.linked[y] += np.where(home[y], self.copies[x].sum(), 0)
+        self.hook(np.full(len(x) + len(y), x[0]), np.concatenate([x, y]))
+
+    def spheres(self, rows: np.ndarray, home: np.ndarray, d: np.ndarray, pivots: np.ndarray) -> None:
+        """Compares all of `rows`, whose distances d from the pivots don't part them into cells.
+
+        Documents within half the reach of a pivot are all linked, by the
+        triangle inequality, as are two such spheres that are close enough;
+        spheres far enough apart have no link. Other pairs are compared.
+        """
+        left, groups = np.ones(len(rows), bool), []
+        within = d <= self.reach / 2 - 1e-9
+        while True:
+            count = (within & left[:, None]).sum(0)
+            k = int(count.argmax())
+            if count[k] < 2:
+                break
+            own = within[:, k] & left
+            groups.append((rows[own], int(pivots[k]), float(d[own, k].max())))
+            left &= ~own
+        centres = np.array([p for _, p, _ in groups], np.int64)
+        far = self.sets.distances(centres, centres) if len(centres) else np.zeros((0, 0))
+        loose = rows[left]
+        for a, (x, _, rx) in enumerate(groups):
+            self.all_linked(x, x, home)
+            for b in range(a + 1, len(groups)):
+                y, _, ry = groups[b]
+                if far[a, b] + rx + ry <= self.reach - 1e-9:
+                    self.all_linked(x, y, home)
+                elif far[a, b] - rx - ry <= self.reach + 1e-9:
+                    self.between(x, y, home)
+            self.between(x, loose, home)
+        self.between(loose, loose, home)
+
+    def cells(self, rows: np.ndarray, home: np.ndarray, leaf: int, depth: int = 0) -> None:
+        """Recursive Voronoi cells with triangle-inequality windows; home: whether a row is in the cell of its nearest pivot."""
+        if not home[rows].any():
+            return
         if len(rows) <= leaf:
-            return compare(rows)
+            return self.between(rows, rows, home)
         pivots = rows[np.argsort(mix(rows.astype(np.uint64) + np.uint64(depth << 40)))[: max(4, int(len(rows) ** 0.5) // 4)]]
-        d = np.vstack([sets.distances(rows[a : a + 512], pivots) for a in range(0, len(rows), 512)])
-        near = d.min(1, keepdims=True)
-        inside = d - near <= 2 * reach + 1e-9
+        d = np.vstack([self.sets.distances(rows[a : a + BLOCK], pivots) for a in range(0, len(rows), BLOCK)])
+        inside = d - d.min(1, keepdims=True) <= 2 * self.reach + 1e-9
         if inside.sum() > 1.5 * len(rows) or inside.sum(0).max() > 0.8 * len(rows):
-            return compare(rows)  # distances don't spread here
+            return self.spheres(rows, home, d, pivots)
+        nearest = d.argmin(1)
         for k in range(len(pivots)):
-            cut_up(rows[inside[:, k]], depth + 1)
+            at = home.copy()
+            at[rows] &= nearest == k
+            self.cells(rows[inside[:, k]], at, leaf, depth + 1)
 
-    if len(sets.sizes):
-        cut_up(np.arange(n), 0)
-    pairs = np.unique(np.concatenate(found))  # a pair may lie in several cells
-    return pairs // max(n, 1), pairs % max(n, 1)
 
+def region_links(sets: Sets, percent: int, copies: np.ndarray | None = None, home: np.ndarray | None = None, side: np.ndarray | None = None, leaf: int = LEAF) -> tuple[np.ndarray, np.ndarray]:
+    """(weight of links, first of the component) of each document of a region.
 
-def least_reachable(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """For each of n nodes the smallest that the pairs (i, j) reach from it."""
-    label = np.arange(n)
-    while True:
-        m = np.minimum(label[i], label[j])
-        new = label.copy()
-        np.minimum.at(new, i, m)
-        np.minimum.at(new, j, m)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
+    copies: the documents' weights; home: those whose links are counted here;
+    side: documents of side 1 are compared with those of side 2 alone, those of side 0 with one another.
+    """
+    n = len(sets.sizes)
+    links = Links(sets, np.ones(n, np.int64) if copies is None else copies, percent)
+    home = np.ones(n, bool) if home is None else home
+    if side is not None and side.any():
+        links.between(np.flatnonzero(side == 1), np.flatnonzero(side == 2), home)
+    elif n:
+        links.cells(np.arange(n), home, leaf)
+    return links.linked, links.first
 
 
 def join_region(rows: pa.Table, percent: int) -> pa.RecordBatch:
-    """(doc_id, first, linked, home) of one region's documents: the first of each component, and the weight of its links."""
+    """(doc_id, first, linked) of one region's documents: the first of each component, and the weight of the links counted here."""
     rows = rows.sort_by("doc_id")
-    doc, home, copies = rows.column("doc_id").to_numpy(), rows.column("home").to_numpy(), rows.column("copies").to_numpy()
-    i, j = region_links(Sets(rows.column("shingles").to_pylist()), percent)
-    linked = (np.bincount(i, copies[j], len(doc)) + np.bincount(j, copies[i], len(doc))).astype(np.int64)
-    first = doc[least_reachable(len(doc), i, j)]
-    out = (linked > 0) & (home | (first != doc))
-    return pa.RecordBatch.from_arrays([pa.array(doc[out]), pa.array(first[out]), pa.array(linked[out]), pa.array(home[out])], ["doc_id", "first", "linked", "home"])
+    doc, copies = rows.column("doc_id").to_numpy(), rows.column("copies").to_numpy()
+    home, side = rows.column("home").to_numpy().astype(bool), rows.column("side").to_numpy()
+    linked, first = region_links(Sets([x.as_buffer() for x in rows.column("shingles").combine_chunks()]), percent, copies, home, side)
+    out = (linked > 0) | (doc[first] != doc)
+    return pa.RecordBatch.from_arrays([pa.array(doc[out]), pa.array(doc[first][out]), pa.array(linked[out])], ["doc_id", "first", "linked"])
 
 
 def _join_regions(percent: int):
@@ -369,8 +452,10 @@ def _join_regions(percent: int):
                     held = []
                 if part.num_rows:
                     held.append(part)
+            trim()
         if held:
             yield join_region(pa.Table.from_batches(held), percent)
+        held = []
         trim()
 
     return run
@@ -393,22 +478,29 @@ def _nearest(percent: int):
     return run
 
 
-def cut_regions(members: DataFrame, percent: int, region_rows: int, pivots: int = 16, rounds: int = 8) -> tuple[DataFrame, bool]:
-    """Distributed Voronoi rounds until no region has more than `region_rows` documents, or cells stop shrinking.
+def _too_large(members: DataFrame, rows: int, size: int) -> DataFrame:
+    n = members.groupBy("region").agg(F.count("*").alias("n"), F.sum(F.octet_length("shingles")).alias("bytes"))
+    return n.where((F.col("n") > rows) | (F.col("bytes") > size)).select("region", "n", F.greatest(F.ceil(2 * F.col("n") / rows), F.ceil(2 * F.col("bytes") / size)).cast("int").alias("parts"))
+
+
+def cut_regions(members: DataFrame, percent: int, rows: int = REGION_ROWS, size: int = REGION_BYTES, pivots: int = 16, rounds: int = 8) -> tuple[DataFrame, bool]:
+    """Distributed Voronoi rounds until no region has more than `rows` documents or `size` bytes of shingles, or cells stop shrinking.
 
     The regions' members, and whether any region was cut. home: the cell is
-    that of the document's nearest pivot, in every round.
+    that of the document's nearest pivot, in every round. What stays too large
+    (more documents within reach of one another than a task should hold) is
+    dealt into parts by hash, and each two parts are a region with two sides.
     """
     schema = "region long, doc_id long, copies long, shingles binary, home boolean"
     members = members.withColumn("home", F.lit(True))
     largest = None
     for _ in range(rounds):
-        sizes = members.groupBy("region").agg(F.count("*").alias("n"))
-        top = sizes.agg(F.max("n")).head()[0] or 0
-        if top <= region_rows or (largest is not None and top > 0.9 * largest):
+        over = cut(_too_large(members, rows, size))
+        top = over.agg(F.max("n")).head()[0] or 0
+        if not top or (largest is not None and top > 0.9 * largest):
             break
         largest = top
-        over = sizes.where(F.col("n") > region_rows).select("region")
+        over = small(over.select("region"), 64)
         big = members.join(over, "region", "left_semi")
         h = F.xxhash64("doc_id")
         few = big.groupBy("region", F.pmod(h, F.lit(8 * pivots)).alias("draw")).agg(F.min(h).alias("h"), F.min_by("shingles", h).alias("shingles"))
@@ -418,10 +510,18 @@ def cut_regions(members: DataFrame, percent: int, region_rows: int, pivots: int
         parted = dealt.where("pivots is not null").mapInPandas(_nearest(percent), schema)
         rest = members.join(over, "region", "left_anti").unionByName(dealt.where("pivots is null").drop("pivots"))
         members = cut(rest.unionByName(parted))
+    members = members.withColumn("side", F.lit(0))
+    if largest is not None:
+        over = small(cut(_too_large(members, rows, size).select("region", "parts")), 64)
+        dealt = members.join(over, "region").withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.col("parts")).cast("int"))
+        pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        region = F.xxhash64("region", F.least("part", "other"), F.greatest("part", "other"))
+        pairs = pairs.withColumns({"region": region, "side": F.when(F.col("part") == F.col("other"), 0).when(F.col("part") < F.col("other"), 1).otherwise(2)}).drop("parts", "part", "other")
+        members = members.join(over, "region", "left_anti").unionByName(pairs)
     return members, largest is not None
 
 
-def jaccard_join(docs: DataFrame, shingle: int = 5, percent: int = 80, region_rows: int = 20_000) -> DataFrame:
+def jaccard_join(docs: DataFrame, shingle: int = 5, percent: int = 80, region_rows: int = REGION_ROWS, region_bytes: int = REGION_BYTES) -> DataFrame:
     """doc_id, n_shingles, component_id, n_links of every row of docs(doc_id, text).
 
     Two rows link when 100 * |A & B| >= percent * |A | B| for their sets of
@@ -443,7 +543,9 @@ def jaccard_join(docs: DataFrame, shingle: int = 5, percent: int = 80, region_ro
     groups = cut(full.groupBy(*kinds).agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")))
     reps = small(groups.select(F.col("rep").alias("doc_id")), 16)
     cells = docs.join(reps, "doc_id", "left_semi").mapInArrow(_cells(shingle, percent), "doc_id long, key long")
-    met = cut(cells.selectExpr("doc_id", "key", "min(doc_id) over (partition by key) as low", "max(doc_id) over (partition by key) as high").where("low <> high").select("doc_id", "key"))
+    # keys that two documents have: their ends are aggregated before the shuffle, so that a crowded key is one row of each task
+    shared = cells.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high").select("key")
+    met = cut(cells.join(small(cut(shared), 64), "key", "left_semi").select("doc_id", "key"))
     asked = small(cut(met.select("doc_id").distinct()), 8)
     sketches = cut(docs.join(asked, "doc_id", "left_semi").mapInArrow(_sketches(shingle), "doc_id long, size long, sketch binary"))
     dealt = met.join(small(sketches, 96), "doc_id").repartition("key").sortWithinPartitions("key")
@@ -452,10 +554,10 @@ def jaccard_join(docs: DataFrame, shingle: int = 5, percent: int = 80, region_ro
     wanted = regions.join(groups.select(F.col("rep").alias("node"), "copies"), "node").select(F.col("node").alias("doc_id"), F.col("component").alias("region"), "copies")
     wanted = small(cut(wanted), 32)
     members = docs.join(wanted, "doc_id").mapInArrow(_with_sets(shingle), "region long, doc_id long, copies long, shingles binary")
-    members, divided = cut_regions(cut(members), percent, region_rows)
-    found = members.repartition("region").sortWithinPartitions("region").mapInArrow(_join_regions(percent), "doc_id long, first long, linked long, home boolean")
+    members, divided = cut_regions(cut(members), percent, region_rows, region_bytes)
+    found = members.repartition("region").sortWithinPartitions("region").mapInArrow(_join_regions(percent), "doc_id long, first long, linked long")
     found = cut(found)
-    counts = found.where("home").select(F.col("doc_id").alias("rep"), "linked")
+    counts = found.groupBy(F.col("doc_id").alias("rep")).agg(F.sum("linked").alias("linked"))
     if divided:
         parts = connected_components(found, "doc_id", "first").withColumnRenamed("node", "rep")
     else:

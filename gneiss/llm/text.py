@@ -46,15 +46,23 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
-#: Rows of an Arrow batch; texts are long, and a batch is held by the JVM and by the worker at once.
-BATCH_ROWS = 1000
+#: Rows and bytes of an Arrow batch; texts are long, and a batch is held by the JVM and by the worker at once.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Lowers the session's rows per Arrow batch, unless it has been set below already."""
+    """Lowers the session's rows and bytes per Arrow batch, unless they have been set below already.
+
+    The settings stay: Spark reads them when the caller's action plans the
+    result. They bound memory and change no result.
+    """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
         spark.conf.set(key, str(BATCH_ROWS))
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key).removesuffix("b")
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
 
 
 class Texts:

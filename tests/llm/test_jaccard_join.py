@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import random
+import subprocess
+import sys
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +39,7 @@ def brute(docs, n, percent):
     return sorted((i, len(s), find(i), links[i]) for i, s in sets.items())
 
 
-@pytest.mark.parametrize(("n", "percent", "region_rows"), [(4, 85, 20_000), (2, 60, 2)])
+@pytest.mark.parametrize(("n", "percent", "region_rows"), [(4, 85, 20_000), (2, 60, 2), (2, 60, 12)])
 def test_against_all_pairs(spark, rows, n, percent, region_rows):
     got = J.jaccard_join(documents(spark), n, percent, region_rows)
     assert rows(got) == sorted(brute(corpus(), n, percent), key=repr)
@@ -83,10 +86,73 @@ def test_regions_are_joined_exactly():
     h, ptr = J.distinct_sets(texts_of(pa.array(texts)), 4)
     blobs = [h[a:b].tobytes() for a, b in zip(ptr, ptr[1:])]
     sets = [frozenset(np.frombuffer(x, np.uint64).tolist()) for x in blobs]
-    want = {(a, b) for b in range(len(sets)) for a in range(b) if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
-    i, j = J.region_links(J.Sets(blobs), 85, leaf=10)
-    assert len(i) == len(want) and set(zip(i.tolist(), j.tolist())) == want
-    assert J.least_reachable(6, np.array([4, 3, 1]), np.array([5, 4, 2])).tolist() == [0, 1, 1, 3, 3, 3]
+    copies = np.array([1 + i % 3 for i in range(len(sets))])
+    linked, first = J.region_links(J.Sets(blobs), 85, copies, leaf=10)
+    want, root = _plain(sets, copies)
+    assert linked.tolist() == want and first.tolist() == root
+    # dealt in parts of which each two meet
+    total, part = np.zeros(len(sets), np.int64), np.arange(len(sets)) % 3
+    for x, y in ((0, 0), (1, 1), (2, 2), (0, 1), (0, 2), (1, 2)):
+        rows = np.flatnonzero((part == x) | (part == y))
+        total[rows] += J.region_links(J.Sets([blobs[i] for i in rows]), 85, copies[rows], side=np.where(x == y, 0, np.where(part[rows] == x, 1, 2)))[0]
+    assert total.tolist() == want
+
+
+def _plain(sets, copies):
+    """Link weights and least reachable rows by all pairs."""
+    n = len(sets)
+    links = [[b for b in range(n) if b != a and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])] for a in range(n)]
+    root = list(range(n))
+    for a in range(n):
+        if root[a] == a:
+            queue = [a]
+            while queue:
+                for b in links[queue.pop()]:
+                    if root[b] > a:
+                        root[b] = a
+                        queue.append(b)
+    return [int(sum(copies[b] for b in x)) for x in links], root
+
+
+def test_spheres_and_chains():
+    """One crowd of mutual copies, chains of steps within reach, and strangers: spheres, their distances and blocks."""
+    r = random.Random(5)
+    texts = _family(r, 150, 90, 1) + _family(r, 60, 40, 3)
+    for _ in range(40):  # a chain: each a few edits from the one before
+        w = texts[-1].split()
+        for _ in range(2):
+            w[r.randrange(len(w))] = f"y{r.randrange(10**6)}"
+        texts.append(" ".join(w))
+    h, ptr = J.distinct_sets(texts_of(pa.array(texts)), 4)
+    blobs = [h[a:b].tobytes() for a, b in zip(ptr, ptr[1:])]
+    sets = [frozenset(np.frombuffer(x, np.uint64).tolist()) for x in blobs]
+    copies = np.ones(len(sets), np.int64)
+    linked, first = J.region_links(J.Sets(blobs), 85, copies, leaf=20)
+    want, root = _plain(sets, copies)
+    assert linked.tolist() == want and first.tolist() == root
+
+
+def test_a_crowd_of_copies_needs_little_memory():
+    """5,000 documents, each one edit from the same text, are 12 million links; no pair of them is kept."""
+    code = """
+import random, resource, numpy as np, pyarrow as pa
+from gneiss.llm import jaccard_join as J
+from gneiss.llm.text import texts_of
+r = random.Random(1)
+base = [f"w{i}" for i in range(300)]
+texts = []
+for k in range(5000):
+    w = list(base)
+    w[r.randrange(300)] = f"x{k}"
+    texts.append(" ".join(w))
+h, ptr = J.distinct_sets(texts_of(pa.array(texts)), 5)
+blobs = [h[a:b].tobytes() for a, b in zip(ptr, ptr[1:])]
+linked, first = J.region_links(J.Sets(blobs), 80)
+assert (linked == 4999).all() and (first == 0).all()
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, env=os.environ | {"OMP_NUM_THREADS": "1", "OPENBLAS_NUM_THREADS": "1"})
+    assert int(out.stdout) < 400  # about 100 of them are the imports
 
 
 def test_cells_over_many_batches():
