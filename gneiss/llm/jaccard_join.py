@@ -53,7 +53,7 @@ LEAF = 192
 BLOCK = 512
 BAND = 1.4
 #: A region of more documents or more bytes of shingles is cut or dealt in parts before a task holds it.
-REGION_ROWS, REGION_BYTES = 4000, 24 << 20
+REGION_ROWS, REGION_BYTES = 8000, 24 << 20
 
 
 def distinct_sets(texts: Texts, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -462,18 +462,16 @@ def _join_regions(percent: int):
 
 
 def _nearest(percent: int):
-    """Cells of the Voronoi pivots that came with each document's region."""
+    """(region, doc_id, cell, nearest): the Voronoi cells, by number, of the pivots that came with each document's region."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            for _, part in rows.groupby("region"):
+            for region, part in rows.groupby("region"):
                 pivots = part.pivots.iloc[0]
-                sets = Sets([*part.shingles, *pivots])
-                n = len(part)
+                sets, n = Sets([*part.shingles, *pivots]), len(part)
                 d = sets.distances(np.arange(n), n + np.arange(len(pivots)))
                 i, k = np.nonzero(d - d.min(1, keepdims=True) <= 2 * (1 - percent / 100) + 1e-9)
-                out = part.iloc[i][["region", "doc_id", "copies", "shingles", "home"]]
-                yield out.assign(home=out.home.to_numpy() & (d.argmin(1)[i] == k), region=mix(out.region.to_numpy().astype(np.uint64) * np.uint64(1000003) + k.astype(np.uint64) + np.uint64(1)).view(np.int64))
+                yield pd.DataFrame({"region": region, "doc_id": part.doc_id.to_numpy()[i], "cell": k, "nearest": d.argmin(1)[i] == k})
 
     return run
 
@@ -491,34 +489,38 @@ def cut_regions(members: DataFrame, percent: int, rows: int = REGION_ROWS, size:
     (more documents within reach of one another than a task should hold) is
     dealt into parts by hash, and each two parts are a region with two sides.
     """
-    schema = "region long, doc_id long, copies long, shingles binary, home boolean"
-    members = members.withColumn("home", F.lit(True))
-    largest = None
+    members, whole, divided = members.withColumn("home", F.lit(True)), None, False
     for _ in range(rounds):
-        over = cut(_too_large(members, rows, size))
-        top = over.agg(F.max("n")).head()[0] or 0
-        if not top or (largest is not None and top > 0.9 * largest):
+        over = _too_large(members, rows, size)
+        over = small(cut(over if whole is None else over.join(whole, "region", "left_anti")).select("region", "n"), 64)
+        if not over.limit(1).count():
             break
-        largest = top
-        over = small(over.select("region"), 64)
-        big = members.join(over, "region", "left_semi")
+        big = members.join(over, "region")
         h = F.xxhash64("doc_id")
         few = big.groupBy("region", F.pmod(h, F.lit(8 * pivots)).alias("draw")).agg(F.min(h).alias("h"), F.min_by("shingles", h).alias("shingles"))
-        drawn = few.groupBy("region").agg(F.expr(f"slice(array_sort(collect_list(struct(h, shingles))), 1, {pivots})").alias("drawn"))
-        drawn = drawn.where("size(drawn) > 1").select("region", F.expr("transform(drawn, x -> x.shingles)").alias("pivots"))
-        dealt = big.join(drawn, "region", "left")
-        parted = dealt.where("pivots is not null").mapInPandas(_nearest(percent), schema)
-        rest = members.join(over, "region", "left_anti").unionByName(dealt.where("pivots is null").drop("pivots"))
-        members = cut(rest.unionByName(parted))
+        drawn = few.groupBy("region").agg(F.expr(f"transform(slice(array_sort(collect_list(struct(h, shingles))), 1, {pivots}), x -> x.shingles)").alias("pivots"))
+        near = big.select("region", "doc_id", "shingles").join(drawn, "region").mapInPandas(_nearest(percent), "region long, doc_id long, cell long, nearest boolean")
+        near = cut(near)
+        # distances that don't spread would only multiply the documents: such a region stays whole
+        cells = near.groupBy("region", "cell").agg(F.count("*").alias("k")).groupBy("region").agg(F.sum("k").alias("k"), F.max("k").alias("most")).join(over, "region")
+        stays = cut(cells.where("k > 1.5 * n or most > 0.8 * n").select("region"))
+        whole = stays if whole is None else whole.unionByName(stays)
+        parted = big.drop("n").join(near.join(small(stays, 64), "region", "left_anti"), ["region", "doc_id"])
+        parted = parted.select(F.xxhash64("region", "cell").alias("region"), "doc_id", "copies", "shingles", (F.col("home") & F.col("nearest")).alias("home"))
+        cut_now = over.join(small(stays, 64), "region", "left_anti")
+        if not cut_now.limit(1).count():
+            break
+        members, divided = cut(members.join(cut_now, "region", "left_anti").unionByName(parted)), True
     members = members.withColumn("side", F.lit(0))
-    if largest is not None:
-        over = small(cut(_too_large(members, rows, size).select("region", "parts")), 64)
+    over = cut(_too_large(members, rows, size).select("region", "parts"))
+    if over.limit(1).count():
+        over, divided = small(over, 64), True
         dealt = members.join(over, "region").withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.col("parts")).cast("int"))
         pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         region = F.xxhash64("region", F.least("part", "other"), F.greatest("part", "other"))
         pairs = pairs.withColumns({"region": region, "side": F.when(F.col("part") == F.col("other"), 0).when(F.col("part") < F.col("other"), 1).otherwise(2)}).drop("parts", "part", "other")
         members = members.join(over, "region", "left_anti").unionByName(pairs)
-    return members, largest is not None
+    return members, divided
 
 
 def jaccard_join(docs: DataFrame, shingle: int = 5, percent: int = 80, region_rows: int = REGION_ROWS, region_bytes: int = REGION_BYTES) -> DataFrame:
