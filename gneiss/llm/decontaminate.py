@@ -14,9 +14,10 @@ is a query, and all items that reach the threshold are retrieved:
   reach the threshold for the passage;
 * scores of those blocks are exact.
 
-A retrieved item contaminates if at least `percent` % of the word shingles of
-its question (its first half) and of its answer (the rest) occur in the
-passage.
+An item contaminates if at least `percent` % of the word shingles of its
+question (its first half) and of its answer (the rest) occur in the passages
+that it, or any piece of it, was retrieved for. Pieces only retrieve: an item
+of any length is verified as a whole.
 """
 
 from __future__ import annotations
@@ -47,19 +48,18 @@ class Index:
         h = words.hashes()
         g, gptr = words.shingles(shingle)
         self.threshold, self.shingle = threshold, shingle
-        self.items, self.question, self.answer, pieces = [], [], [], []
+        self.items, self.question, self.answer, pieces = [], {}, {}, []
         for k, item in enumerate(item_ids):
             a, b = words.ptr[k], words.ptr[k + 1]
             if a == b:
                 continue
             grams = g[gptr[k] : gptr[k + 1]]
             middle = (len(grams) + 1) // 2
+            self.question[k], self.answer[k] = np.unique(grams[:middle]), np.unique(grams[middle:])
             for c in range(a, b, STRIDE):
-                self.items.append(item)
+                self.items.append(k)
                 pieces.append(h[c : min(c + STRIDE, b)])
-                low, high = c - a, c - a + STRIDE - shingle + 1
-                self.question.append(np.unique(grams[low : min(high, middle)]))
-                self.answer.append(np.unique(grams[max(low, middle) : high]))
+        self.ids = item_ids
         n = len(pieces)
         self.terms, back = np.unique(np.concatenate(pieces) if pieces else np.zeros(0, np.uint64), return_inverse=True)
         owner = np.repeat(np.arange(n), [len(p) for p in pieces])
@@ -134,40 +134,52 @@ class Index:
             n = self.term_ptr[own + 1] - self.term_ptr[own]
             post = np.repeat(self.term_ptr[own], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             post = post[np.isin(self.item[post] // BLOCK, wanted)]
-            score = np.bincount(self.item[post], self.weight[post], len(self.items))
+            met, back = np.unique(self.item[post], return_inverse=True)
+            score = np.bincount(back, self.weight[post], len(met))
             for k in np.flatnonzero(score >= self.threshold):
-                yield t, int((w - base[t]) * STRIDE), int(k), float(score[k])
+                yield t, int((w - base[t]) * STRIDE), int(met[k]), float(score[k])
 
     def verified(self, texts: Texts, percent: int) -> Iterator[tuple[int, int, float]]:
         """(text number, item id, score) of the retrieved passages that hold question and answer."""
-        found = list(self.retrieve(texts))
+        found: dict[tuple[int, int], list[tuple[int, float]]] = {}
+        for t, first, k, score in self.retrieve(texts):
+            found.setdefault((t, self.items[k]), []).append((first, score))
         if not found:
             return
         g, ptr = texts.lower().words().shingles(self.shingle)
-        for t, first, k, score in found:
-            passage = g[ptr[t] + first : min(ptr[t] + first + 2 * STRIDE - self.shingle + 1, ptr[t + 1])]
-            parts = [x for x in (self.question[k], self.answer[k]) if len(x)]
-            if parts and all(100 * np.isin(x, passage).sum() >= percent * len(x) for x in parts):
-                yield t, self.items[k], score
-
-
-def contamination(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, percent: int = 80, shingle: int = 5) -> DataFrame:
+        for (t, k), hits in found.items():
+            spans = [g[ptr[t] + a : min(ptr[t] + a + 2 * STRIDE - self.shingle + 1, ptr[t + 1])] for a in sorted({a for a, _ in hits})]
+            # an item of one piece must be in one passage
+            for passages in [spans] if len(self.pieces_of(k)) > 1 else [[x] for x in spans]:
+                seen = np.concatenate(passages)
+                parts = [x for x in (self.question[k], self.answer[k]) if len(x)]
+                if parts and all(100 * np.isin(x, seen).sum() >= percent * len(x) for x in parts):
+                    yield t, self.ids[k], max(s for _, s in hits)
+                    break
+
+    def pieces_of(self, item: int) -> range:
+        """The pieces of the item with this number."""
+        return range(*np.searchsorted(self.items, [item, item + 1]).tolist())
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, percent: int = 80, shingle: int = 5, index_items: int = INDEX_ITEMS) -> DataFrame:
     """(doc_id, item_id, score) of every document of docs(doc_id, text) and item of benchmark(item_id, text) in it.
 
     A row of docs gives an item once, with its best passage's score; equal rows
     give equal rows once. Items without words are never found, items of fewer
     words than a shingle only where their words are a whole document. Null ids
-    are ids like others; null texts hold nothing. The benchmark is a table of
-    test items: it is read to the driver and indexed in passes of INDEX_ITEMS.
+    are ids like others; null texts hold nothing. Rows that repeat an item are one.
+    The driver holds one index of about `index_items` items at a time; more are
+    dealt by hash to further passes over docs.
     """
     small_batches(docs.sparkSession)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     schema = f"doc_id {dict(docs.dtypes)['doc_id']}, item_id long, score double"
-    table = items.orderBy("item_id", "text").toArrow()
+    passes = max(-(-items.count() // index_items), 1)
     found = []
-    for a in range(0, max(table.num_rows, 1), INDEX_ITEMS):
-        part = table.slice(a, INDEX_ITEMS)
+    for k in range(passes):
+        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k).orderBy("item_id", "text").toArrow()
         index = Index(part.column("item_id").to_pylist(), texts_of(part.column("text")), shingle, threshold)
         shared = docs.sparkSession.sparkContext.broadcast(index)
 

@@ -16,6 +16,7 @@ import io
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyarrow import fs
@@ -27,8 +28,8 @@ from gneiss.operators.lineage import cut, shared_dir, small
 
 #: Payloads of fewer bytes are always stored whole.
 LEAST_REVISIT = 100
-#: Equal-width ranges of page_id whose bytes are summed to balance the shards.
-CELLS = 4096
+#: Equal-width ranges of page_id whose bytes are summed to balance the shards, and the bits that a crowded one is split by.
+CELLS, BITS = 4096, 12
 
 _MANIFEST = "shard int, file string, records long, bytes long, sha256 string"
 _RECORD = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -156,16 +157,37 @@ def _read(uri: str):
 def shards(rows: DataFrame, shard_bytes: int) -> DataFrame:
     """rows(page_id, payload_bytes) with `shard`: ranges of page_id of about `shard_bytes` each.
 
-    The bytes of CELLS equal-width ranges are summed and cut; a null page_id is
-    in the first range. The table of ranges has at most CELLS + 1 rows.
+    The bytes of equal-width ranges are summed; a range with more than a
+    shard's bytes is split into narrower ones, down to single ids, so that
+    outlying ids don't crowd the others into one shard. The ranges are then cut
+    by prefix sums of their bytes. A null page_id is in the first range. The
+    result doesn't depend on the order of the rows.
     """
-    low, high = rows.agg(F.min("page_id"), F.max("page_id")).head()
+    light = cut(rows.select("page_id", (F.col("payload_bytes") + 512).alias("bytes")))
+    low, high = light.agg(F.min("page_id"), F.max("page_id")).head()
     low, high = low or 0, high or 0
-    width = (high - low) // CELLS + 1
-    cell = F.coalesce(F.floor((F.col("page_id") - F.lit(low)) / F.lit(width)), F.lit(-1)).cast("long")
-    sums = rows.groupBy(cell.alias("cell")).agg(F.sum(F.col("payload_bytes") + 512).alias("bytes"))
-    ranges = sums.selectExpr("cell", f"cast(coalesce(sum(bytes) over (order by cell rows between unbounded preceding and 1 preceding), 0) div {shard_bytes} as int) as shard")
-    return rows.withColumn("cell", cell).join(F.broadcast(cut(ranges)), "cell").drop("cell")
+    shift = 0
+    while (high >> shift) - (low >> shift) >= CELLS:
+        shift += 1
+    cell = lambda k: F.shiftright("page_id", k)
+    levels, part = [], light.where("page_id is not null")
+    while True:
+        sums = cut(part.groupBy(cell(shift).alias("cell")).agg(F.sum("bytes").alias("bytes")))
+        crowded = F.col("bytes") > (shard_bytes if shift else 1 << 62)
+        levels.append((shift, sums.where(~crowded)))
+        over = sums.where(crowded).select("cell")
+        if not shift or not over.limit(1).count():
+            break
+        part = part.withColumn("cell", cell(shift)).join(small(over, 64), "cell", "left_semi").drop("cell")
+        shift = max(shift - BITS, 0)
+    ranges = reduce(DataFrame.unionByName, [x.select(F.lit(k).alias("level"), "cell", F.shiftleft("cell", k).alias("start"), "bytes") for k, x in levels])
+    ranges = cut(ranges.selectExpr("level", "cell", f"cast(coalesce(sum(bytes) over (order by start rows between unbounded preceding and 1 preceding), 0) div {shard_bytes} as int) as shard"))
+    out, names = rows, []
+    for k, _ in levels:
+        of_level = ranges.where(F.col("level") == k).select(F.col("cell").alias(f"_c{k}"), F.col("shard").alias(f"_s{k}"))
+        out = out.join(small(of_level, 64), cell(k) == F.col(f"_c{k}"), "left")
+        names += [f"_c{k}", f"_s{k}"]
+    return out.withColumn("shard", F.coalesce(*[F.col(x) for x in names[1::2]], F.lit(0))).drop(*names)
 
 
 def write_warc(pages: DataFrame, uri: str, roll_bytes: int = 16 << 20, shard_bytes: int = 64 << 20, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
@@ -196,7 +218,8 @@ def write_warc(pages: DataFrame, uri: str, roll_bytes: int = 16 << 20, shard_byt
 def read_warc(spark: SparkSession, uri: str) -> DataFrame:
     """The records of the files that the folder's manifest lists, digests verified; a revisit's size and digest are its header's."""
     files = spark.read.schema(_MANIFEST).parquet(f"{uri}/manifest")
-    return files.select("file").repartition(F.col("file")).mapInArrow(_read(uri), _RECORD)
+    # with a number, adaptive execution doesn't put all the small manifest rows into one task
+    return files.select("file").repartition(max(files.count(), 1), "file").mapInArrow(_read(uri), _RECORD)
 
 
 def archive_round_trip(pages: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from gneiss.llm import decontaminate as B
 from gneiss.llm import mixing as M
@@ -106,6 +107,26 @@ def test_contamination_against_all_passages(spark):
     assert B.contamination_report(d, b.limit(0)).where("contaminated").count() == 0
 
 
+def test_long_items_are_verified_whole(spark):
+    r = random.Random(18)
+    vocabulary = [f"w{i}" for i in range(4000)]
+    text = lambda n: " ".join(r.choice(vocabulary) for _ in range(n))
+    items = [(j, text(n)) for j, n in enumerate((5, 9, 63, 64, 65, 67, 120, 129, 200, 260, 700, 2000))]
+    docs = []
+    for j, item in items:
+        w = item.split()
+        for part in (w, w[: len(w) // 2], w[len(w) // 2 :], w[: -len(w) // 20], w[: min(64, len(w) // 2)]):
+            docs.append((len(docs), " ".join([text(r.randrange(30, 200)), *part, text(r.randrange(30, 200))])))
+    docs += [(900, items[8][1]), (900, items[8][1]), (None, items[9][1])]
+    d = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 as item_id", "2.0 as score")
+    b = spark.createDataFrame([*items, items[3]], "item_id long, text string").selectExpr("*", "'x' as doc_id")
+    want = leaks(docs, items)
+    for index_items in (50_000, 4):
+        got = [(x.doc_id, x.item_id) for x in B.contamination(d, b, index_items=index_items).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+    assert len(want) > 15
+
+
 def test_pruned_retrieval_finds_all_that_reach_the_threshold():
     r = random.Random(9)
     vocabulary = [f"w{i}" for i in range(120)]
@@ -131,6 +152,20 @@ def test_pruned_retrieval_finds_all_that_reach_the_threshold():
     assert all(got[k] == pytest.approx(want[k]) for k in got)
 
 
+@pytest.mark.parametrize("ids", [list(range(400)), [*range(399), 10**12], [-(2**63), *range(398), 2**63 - 1], [7] * 400])
+def test_shards_fill_whatever_the_ids(spark, ids):
+    df = spark.createDataFrame([(i, 1000) for i in ids] + [(None, 1000)], "page_id long, payload_bytes long").withColumn("cell", F.lit(1))
+    got = W.shards(df, 50_000).collect()
+    assert sorted(((r.page_id is None, r.page_id or 0) for r in got)) == sorted([(False, i) for i in ids] + [(True, 0)])
+    by = {}
+    for r in got:
+        by.setdefault(r.shard, []).append(r.page_id)
+    if len(set(ids)) > 1:
+        assert len(by) >= 10 and max(map(len, by.values())) < 80
+        spans = sorted((min(x), max(x)) for x in ([i for i in v if i is not None] for v in by.values()) if x)
+        assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+
+
 PAGES = [(3, "http://a/x", "<p>" + "é" * 80), (1, "http://a/ y", "<p>" + "é" * 80), (2, None, "<b>1"), (5, "u", "<b>1"), (9, "u", None), (None, "u", "<p>" + "é" * 80), (7, "u", "line\r\n\r\nbreak" * 20), (8, "u", "日本" * 3000), (8, "u", "日本" * 3000)]
 
 
