@@ -114,22 +114,25 @@ def fill_rates(rows: DataFrame, **columns: str) -> DataFrame:
     return rows.agg(*[F.round(100 * F.avg(F.col(c).isNotNull().cast("double")), 2).alias(k) for k, c in columns.items()])
 
 
-def percent_ranks(rows: DataFrame, partitions: int = 64, **ranks: Column) -> DataFrame:
-    """rows with a percent rank over all of them for each named expression, without a one-partition sort.
+def percent_ranks(rows: DataFrame, **ranks: Column) -> DataFrame:
+    """rows with a percent rank over all of them for each named numeric expression, without a one-partition sort.
 
-    Values are counted first; the counts are dealt by range, summed within each
-    range, and offset by the sums of the ranges before. The table of ranges has
-    `partitions` rows.
+    All expressions are ranked in one pass: their values are counted by
+    (expression, value), dealt by range once, summed within each range and
+    offset by the sums of the ranges before. The table of ranges has a row for
+    each partition and expression. Values are compared as doubles, nulls first.
     """
-    n = rows.count()
+    rows = cut(rows)
+    measures = F.array(*[F.struct(F.lit(k).alias("m"), value.cast("double").alias("v")) for k, value in enumerate(ranks.values())])
+    counts = rows.select(F.inline(measures)).groupBy("m", "v").agg(F.count("*").alias("k"))
+    placed = counts.repartitionByRange("m", "v").withColumn("p", F.spark_partition_id())
+    ahead = Window.partitionBy("p", "m").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    placed = cut(placed.withColumn("before", F.coalesce(F.sum("k").over(ahead), F.lit(0))))
+    ranges = placed.groupBy("p", "m").agg(F.sum("k").alias("s"))
+    ranges = ranges.select("p", "m", F.coalesce(F.sum("s").over(Window.partitionBy("m").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"), F.sum("s").over(Window.partitionBy("m")).alias("n"))
+    placed = cut(placed.join(F.broadcast(ranges), ["p", "m"]).select("m", "v", ((F.col("before") + F.col("start")) / F.greatest(F.col("n") - 1, F.lit(1))).alias("rank")))
     out = rows
-    for name, value in ranks.items():
-        counts = rows.select(value.alias("v")).groupBy("v").agg(F.count("*").alias("k"))
-        placed = counts.repartitionByRange(partitions, "v").withColumn("p", F.spark_partition_id())
-        placed = placed.withColumn("before", F.coalesce(F.sum("k").over(Window.partitionBy("p").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        placed = cut(placed)
-        sums = placed.groupBy("p").agg(F.sum("k").alias("s"))
-        starts = sums.select(F.col("p").alias("q"), F.coalesce(F.sum("s").over(Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"))
-        rank = placed.join(F.broadcast(starts), F.col("p") == F.col("q")).select(F.col("v").alias(f"_{name}"), ((F.col("before") + F.col("start")) / F.lit(max(n - 1, 1))).alias(name))
-        out = out.join(rank, value.eqNullSafe(F.col(f"_{name}"))).drop(f"_{name}")
+    for k, (name, value) in enumerate(ranks.items()):
+        rank = placed.where(F.col("m") == k).select(F.col("v").alias(f"_{name}"), F.col("rank").alias(name))
+        out = out.join(rank, value.cast("double").eqNullSafe(F.col(f"_{name}"))).drop(f"_{name}")
     return out

@@ -116,12 +116,13 @@ def dup_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions.dup_rank(lineitem, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount"]).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "dup_rank")
 
 
-@query("""WITH b AS (SELECT user_id AS id, ts AS updated_at, event_id FROM events WHERE event_id % 3 <> 0), s AS (SELECT user_id AS id, ts AS updated_at FROM events WHERE event_id % 2 = 0)
+@query("""WITH b AS (SELECT user_id AS id, ts AS updated_at, event_id FROM events), s AS (SELECT user_id AS id, ts AS updated_at FROM events WHERE ts < TIMESTAMP '2024-01-16')
 SELECT id, updated_at, max(event_id) AS event_id FROM b WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.id = b.id AND s.updated_at = b.updated_at) GROUP BY id, updated_at""")
 def idempotent_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     (events,) = _t(spark, sf_dir, "events")
     rows = events.select(F.col("user_id").alias("id"), F.col("ts").alias("updated_at"), "event_id")
-    return versions.new_versions(rows.where("event_id % 3 <> 0"), rows.where("event_id % 2 = 0"), "id", "updated_at", "event_id")
+    stored = rows.where(F.col("updated_at") < _day("2024-01-16"))
+    return versions.new_versions(rows, stored, "id", "updated_at", "event_id")
 
 
 @query("SELECT event_id, ts FROM events WHERE ts > (SELECT max(ts) FROM events WHERE event_type = 'error' AND ts < TIMESTAMP '2024-01-20')")
@@ -379,10 +380,11 @@ def haversine_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def token_ratio_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both ratios and the name rules on all pairs of different part names with one first word."""
+    """Both ratios and the name rules on all pairs of different part names with one first word, in blocks that the matcher compares."""
     (part,) = _t(spark, sf_dir, "part")
-    n = part.select("p_name").distinct()
-    pairs = n.select(F.col("p_name").alias("a"), F.split("p_name", " ")[0].alias("w")).join(n.select(F.col("p_name").alias("b"), F.split("p_name", " ")[0].alias("w")), "w").where("a < b")
+    n = part.select("p_name", F.split("p_name", " ")[0].alias("w")).distinct()
+    n = n.join(n.groupBy("w").count().where("count <= 200").select("w"), "w", "left_semi")  # the matcher's cap on blocks
+    pairs = n.select(F.col("p_name").alias("a"), "w").join(n.select(F.col("p_name").alias("b"), "w"), "w").where("a < b")
     return pairs.select("a", "b", token_sort_ratio("a", "b").alias("sorted"), token_set_ratio("a", "b").alias("sets"), name_similarity(F.col("a"), F.col("b"), F.lit(True)).alias("name"))
 
 
@@ -395,22 +397,18 @@ def name_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustering.cluster_names(weights, Settings())["assignment"]
 
 
-_BLOCKED = "p_partkey % 50 = 1"
-
-
-@query(f"""WITH m AS (SELECT p_partkey AS mention_id, p_name, split_part(p_name, ' ', 1) AS w FROM part WHERE {_BLOCKED}),
-r AS (SELECT DISTINCT p_name AS candidate, split_part(p_name, ' ', 1) AS w FROM part WHERE NOT ({_BLOCKED})), ok AS (SELECT w FROM r GROUP BY w HAVING count(*) <= 200),
-s AS (SELECT mention_id, candidate, round(1 - levenshtein(p_name, candidate)::DOUBLE / greatest(length(p_name), length(candidate)), 4) AS score FROM m JOIN r USING (w) SEMI JOIN ok USING (w))
+@query("""WITH m AS (SELECT p_partkey AS mention_id, p_name, split_part(p_name, ' ', 1) AS w FROM part),
+r AS (SELECT DISTINCT p_name AS candidate, w FROM m), ok AS (SELECT w FROM r GROUP BY w HAVING count(*) <= 200),
+s AS (SELECT mention_id, candidate, round(1 - levenshtein(p_name, candidate)::DOUBLE / greatest(length(p_name), length(candidate)), 4) AS score FROM m JOIN r USING (w) SEMI JOIN ok USING (w) WHERE p_name <> candidate)
 SELECT mention_id, candidate, score, CASE WHEN score >= 0.9 THEN 'auto' WHEN score >= 0.75 THEN 'review' ELSE 'none' END AS band FROM s
 QUALIFY row_number() OVER (PARTITION BY mention_id ORDER BY score DESC, candidate) = 1""")
 def blocked_best_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mentions (every fiftieth part) against the reference names of their block, the best banded."""
+    """Every part against the other names of its block, the best banded."""
     (part,) = _t(spark, sf_dir, "part")
-    word = F.split("p_name", " ")[0].alias("w")
-    m = part.where(_BLOCKED).select(F.col("p_partkey").alias("mention_id"), "p_name", word)
-    r = part.where(f"not ({_BLOCKED})").select(F.col("p_name").alias("candidate"), word).distinct()
+    m = part.select(F.col("p_partkey").alias("mention_id"), "p_name", F.split("p_name", " ")[0].alias("w"))
+    r = m.select(F.col("p_name").alias("candidate"), "w").distinct()
     ok = r.groupBy("w").count().where("count <= 200").select("w")
-    pairs = m.join(r.join(ok, "w", "left_semi"), "w")
+    pairs = m.join(r.join(ok, "w", "left_semi"), "w").where("p_name <> candidate")
     score = F.round(1 - F.levenshtein("p_name", "candidate") / F.greatest(F.length("p_name"), F.length("candidate")), 4)
     best = versions.first_by(pairs.withColumn("score", score), ["mention_id"], F.col("score").desc(), F.col("candidate"))
     band = F.when(F.col("score") >= 0.9, "auto").when(F.col("score") >= 0.75, "review").otherwise("none")
@@ -419,24 +417,23 @@ def blocked_best_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- graphs ----------------------------------------------------------------------
 
-_EDGES = "l_quantity >= 49 AND l_returnflag = 'R' AND l_linestatus = 'F'"
+#: Labels spread along all edges until none gets smaller.
+_LABELS = """, u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+r(node, label) USING KEY (node) AS (SELECT a, a FROM u UNION SELECT u.b, min(r.label) FROM r JOIN u ON u.a = r.node JOIN recurring.r AS now ON now.node = u.b WHERE r.label < now.label GROUP BY u.b)"""
 
 
-@query(f"""WITH RECURSIVE e AS (SELECT DISTINCT 'o' || l_orderkey AS a, 'p' || l_partkey AS b FROM lineitem WHERE {_EDGES}), u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
-r AS (SELECT a AS node, a AS reach FROM u UNION SELECT r.node, u.b FROM r JOIN u ON u.a = r.reach) SELECT node, min(reach) AS component FROM r GROUP BY node""")
+@query(f"""WITH RECURSIVE e AS (SELECT DISTINCT 'o' || l_orderkey AS a, 'p' || l_partkey AS b FROM lineitem){_LABELS} SELECT node, label AS component FROM r""")
 def connected_component_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     (lineitem,) = _t(spark, sf_dir, "lineitem")
-    e = lineitem.where(_EDGES).select(F.concat(F.lit("o"), "l_orderkey").alias("src"), F.concat(F.lit("p"), "l_partkey").alias("dst"))
-    return connected_components(e)
+    return connected_components(lineitem.select(F.concat(F.lit("o"), "l_orderkey").alias("src"), F.concat(F.lit("p"), "l_partkey").alias("dst")))
 
 
-@query(f"""WITH RECURSIVE m AS (SELECT DISTINCT l_orderkey AS k, l_partkey AS p FROM lineitem WHERE {_EDGES}), h AS (SELECT k, min(p) AS hub FROM m GROUP BY k HAVING count(*) BETWEEN 2 AND 200),
-e AS (SELECT hub AS a, p AS b FROM m JOIN h USING (k) WHERE p <> hub), u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
-r AS (SELECT p AS node, p AS reach FROM m UNION SELECT r.node, u.b FROM r JOIN u ON u.a = r.reach)
-SELECT node AS property_id, 'G' || substr(sha1(CAST(min(reach) AS VARCHAR)), 1, 10) AS group_id FROM r GROUP BY node""")
+@query(f"""WITH RECURSIVE m AS (SELECT DISTINCT l_orderkey AS k, l_partkey AS p FROM lineitem), h AS (SELECT k, min(p) AS hub FROM m GROUP BY k HAVING count(*) BETWEEN 2 AND 200),
+e AS (SELECT hub AS a, p AS b FROM m JOIN h USING (k) WHERE p <> hub){_LABELS}
+SELECT DISTINCT p AS property_id, 'G' || substr(sha1(CAST(coalesce(label, p) AS VARCHAR)), 1, 10) AS group_id FROM m LEFT JOIN r ON r.node = p""")
 def portfolio_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     (lineitem,) = _t(spark, sf_dir, "lineitem")
-    m = lineitem.where(_EDGES).select("l_orderkey", F.col("l_partkey").alias("property_id")).distinct()
+    m = lineitem.select("l_orderkey", F.col("l_partkey").alias("property_id")).distinct()
     parts = connected_components(clustering.star_edges(m, "l_orderkey", "property_id", 200))
     out = m.select("property_id").distinct().join(parts, F.col("property_id") == F.col("node"), "left")
     return out.select("property_id", names.entity_id("G", F.coalesce("component", "property_id")).alias("group_id"))
