@@ -114,18 +114,19 @@ def fill_rates(rows: DataFrame, **columns: str) -> DataFrame:
     return rows.agg(*[F.round(100 * F.avg(F.col(c).isNotNull().cast("double")), 2).alias(k) for k, c in columns.items()])
 
 
-def percent_ranks(rows: DataFrame, **ranks: Column) -> DataFrame:
+def percent_ranks(rows: DataFrame, partitions: int | None = None, **ranks: Column) -> DataFrame:
     """rows with a percent rank over all of them for each named numeric expression, without a one-partition sort.
 
     All expressions are ranked in one pass: their values are counted by
     (expression, value), dealt by range once, summed within each range and
     offset by the sums of the ranges before. The table of ranges has a row for
-    each partition and expression. Values are compared as doubles, nulls first.
+    each partition and expression; `partitions` sets the number of ranges, else
+    it follows the session. Values are compared as doubles, nulls first.
     """
     rows = cut(rows)
     measures = F.array(*[F.struct(F.lit(k).alias("m"), value.cast("double").alias("v")) for k, value in enumerate(ranks.values())])
     counts = rows.select(F.inline(measures)).groupBy("m", "v").agg(F.count("*").alias("k"))
-    placed = counts.repartitionByRange("m", "v").withColumn("p", F.spark_partition_id())
+    placed = counts.repartitionByRange(*([partitions] if partitions else []), "m", "v").withColumn("p", F.spark_partition_id())
     ahead = Window.partitionBy("p", "m").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
     placed = cut(placed.withColumn("before", F.coalesce(F.sum("k").over(ahead), F.lit(0))))
     ranges = placed.groupBy("p", "m").agg(F.sum("k").alias("s"))
