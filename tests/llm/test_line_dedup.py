@@ -9,7 +9,7 @@ import pytest
 
 from gneiss.llm import line_dedup as L
 
-from .helpers import documents, empty
+from .helpers import documents, empty, words
 
 
 def edits(a, b):
@@ -52,16 +52,20 @@ def test_links_against_all_pairs(spark, crowd):
     assert len(got) == len(set(got)) and set(got) == want
 
 
-def brute(docs, least=32):
-    """The rule itself: a line goes if it, or one within two edits, came before."""
-    seen, out = [], {}
+def brute(docs, least=32, short=False):
+    """The rule itself: a line goes if it, or one within two edits, came before; short lines with a word only if asked for, exactly."""
+    seen, brief, out = [], set(), {}
     for i, text in sorted(docs, key=lambda x: x[0]):
         kept, gone = [], 0
         for line in (text or "").split("\n"):
             if len(line) >= least and any(abs(len(line) - len(s)) <= 2 and edits(line, s) <= 2 for s in seen):
                 gone += 1
+            elif short and len(line) < least and line in brief:
+                gone += 1
             else:
                 kept.append(line)
+            if len(line) < least and words(line):
+                brief.add(line)
             if len(line) >= least and line not in seen:
                 seen.append(line)
         out[i] = (gone, None if text is None else "\n".join(kept))
