@@ -431,12 +431,50 @@ def join_region(rows: pa.Table, percent: int) -> pa.RecordBatch:
     """(doc_id, first, linked) of one region's documents: the first of each component, and the weight of the links counted here."""
     rows = rows.sort_by("doc_id")
     doc, copies = rows.column("doc_id").to_numpy(), rows.column("copies").to_numpy()
-    home, side = rows.column("home").to_numpy().astype(bool), rows.column("side").to_numpy()
-    linked, first = region_links(Sets([x.as_buffer() for x in rows.column("shingles").combine_chunks()]), percent, copies, home, side)
+    home, side = rows.column("home").to_numpy().astype(bool), rows.column("side").to_numpy() if "side" in rows.column_names else None
+    linked, first = region_links(Sets([x.as_buffer() for c in rows.column("shingles").chunks for x in c]), percent, copies, home, side)
     out = (linked > 0) | (doc[first] != doc)
     return pa.RecordBatch.from_arrays([pa.array(doc[out]), pa.array(doc[first][out]), pa.array(linked[out])], ["doc_id", "first", "linked"])
 
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents of one region and part as compressed tables, of a batch's rows at most."""
+    for batch in batches:
+        region, part = batch.column("region").to_numpy(), batch.column("part").to_numpy()
+        cuts = [0, *(np.flatnonzero((region[1:] != region[:-1]) | (part[1:] != part[:-1])) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            if a < b:
+                rows, sink = batch.slice(a, b - a).select(["doc_id", "copies", "shingles", "home"]), pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                    out.write_batch(rows)
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, 1) for c in ("region", "part", "parts")), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["region", "part", "parts", "pack"])
+    trim()
+
+
+def _join_packs(percent: int):
+    """As _join_regions, of packed parts in a partition that is sorted by region."""
+
+    def join(packs: list[tuple[int, bytes]]) -> pa.RecordBatch:
+        tables = [(side, pa.ipc.open_stream(x).read_all()) for side, x in packs]
+        out = join_region(pa.concat_tables([t.append_column("side", pa.array(np.full(len(t), side))) for side, t in tables]), percent)
+        trim()
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, []
+        for batch in batches:
+            for region, side, pack in zip(*(batch.column(c).to_pylist() for c in ("region", "side", "pack"))):
+                if region != last and held:
+                    yield join(held)
+                    held = []
+                last = region
+                held.append((side, pack))
+        if held:
+            yield join(held)
+
+    return run
+
+
 def _join_regions(percent: int):
     """Regions of a partition that is sorted by region, one at a time; a region may go on over batches."""
 
@@ -481,13 +519,15 @@ def _too_large(members: DataFrame, rows: int, size: int) -> DataFrame:
     return n.where((F.col("n") > rows) | (F.col("bytes") > size)).select("region", "n", F.greatest(F.ceil(2 * F.col("n") / rows), F.ceil(2 * F.col("bytes") / size)).cast("int").alias("parts"))
 
 
-def cut_regions(members: DataFrame, percent: int, rows: int = REGION_ROWS, size: int = REGION_BYTES, pivots: int = 16, rounds: int = 8) -> tuple[DataFrame, bool]:
+def cut_regions(members: DataFrame, percent: int, rows: int = REGION_ROWS, size: int = REGION_BYTES, pivots: int = 16, rounds: int = 8) -> tuple[DataFrame, DataFrame | None, bool]:
     """Distributed Voronoi rounds until no region has more than `rows` documents or `size` bytes of shingles, or cells stop shrinking.
 
-    The regions' members, and whether any region was cut. home: the cell is
-    that of the document's nearest pivot, in every round. What stays too large
-    (more documents within reach of one another than a task should hold) is
-    dealt into parts by hash, and each two parts are a region with two sides.
+    (members, pairs, whether any region was cut). home: the cell is that of the
+    document's nearest pivot, in every round. What stays too large (more
+    documents within reach of one another than a task should hold) is dealt
+    into parts by hash, and pairs has each two of them as a region with two
+    sides. Parts travel packed: documents within reach of one another have most
+    shingles in common, so that their sets compress well together.
     """
     members, whole, divided = members.withColumn("home", F.lit(True)), None, False
     for _ in range(rounds):
@@ -511,16 +551,16 @@ def cut_regions(members: DataFrame, percent: int, rows: int = REGION_ROWS, size:
         if not cut_now.limit(1).count():
             break
         members, divided = cut(members.join(cut_now, "region", "left_anti").unionByName(parted)), True
-    members = members.withColumn("side", F.lit(0))
     over = cut(_too_large(members, rows, size).select("region", "parts"))
-    if over.limit(1).count():
-        over, divided = small(over, 64), True
-        dealt = members.join(over, "region").withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.col("parts")).cast("int"))
-        pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        region = F.xxhash64("region", F.least("part", "other"), F.greatest("part", "other"))
-        pairs = pairs.withColumns({"region": region, "side": F.when(F.col("part") == F.col("other"), 0).when(F.col("part") < F.col("other"), 1).otherwise(2)}).drop("parts", "part", "other")
-        members = members.join(over, "region", "left_anti").unionByName(pairs)
-    return members, divided
+    if not over.limit(1).count():
+        return members, None, divided
+    over = small(over, 64)
+    dealt = members.join(over, "region").withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.col("parts")).cast("int"))
+    packs = cut(dealt.repartition("region", "part").sortWithinPartitions("region", "part").mapInArrow(_pack, "region long, part int, parts int, pack binary"))
+    pairs = packs.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    region = F.xxhash64("region", F.least("part", "other"), F.greatest("part", "other"))
+    side = F.when(F.col("part") == F.col("other"), 0).when(F.col("part") < F.col("other"), 1).otherwise(2)
+    return members.join(over, "region", "left_anti"), pairs.select(region.alias("region"), side.alias("side"), "pack"), True
 
 
 def jaccard_join(docs: DataFrame, shingle: int = 5, percent: int = 80, region_rows: int = REGION_ROWS, region_bytes: int = REGION_BYTES) -> DataFrame:
@@ -556,8 +596,11 @@ def jaccard_join(docs: DataFrame, shingle: int = 5, percent: int = 80, region_ro
     wanted = regions.join(groups.select(F.col("rep").alias("node"), "copies"), "node").select(F.col("node").alias("doc_id"), F.col("component").alias("region"), "copies")
     wanted = small(cut(wanted), 32)
     members = docs.join(wanted, "doc_id").mapInArrow(_with_sets(shingle), "region long, doc_id long, copies long, shingles binary")
-    members, divided = cut_regions(cut(members), percent, region_rows, region_bytes)
-    found = members.repartition("region").sortWithinPartitions("region").mapInArrow(_join_regions(percent), "doc_id long, first long, linked long")
+    members, pairs, divided = cut_regions(cut(members), percent, region_rows, region_bytes)
+    schema = "doc_id long, first long, linked long"
+    found = members.repartition("region").sortWithinPartitions("region").mapInArrow(_join_regions(percent), schema)
+    if pairs is not None:
+        found = found.unionByName(pairs.repartition("region").sortWithinPartitions("region").mapInArrow(_join_packs(percent), schema))
     found = cut(found)
     counts = found.groupBy(F.col("doc_id").alias("rep")).agg(F.sum("linked").alias("linked"))
     if divided:
