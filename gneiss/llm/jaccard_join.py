@@ -158,35 +158,53 @@ def _cells(n: int, percent: int):
     return run
 
 
-SKETCH = 64
+#: Classes of the smallest sketch; a set has twice as many until a class has at most SKETCH_LOAD of its shingles, as
+#: with fewer classes the counts of unrelated large sets are too much alike to tell them apart.
+SKETCH, SKETCH_LOAD = 64, 12
 #: Cells of up to so many documents give all their possible pairs, larger ones a spanning forest of them.
 FEW = 12
 #: A cell of more documents isn't held in a task; its documents are joined without a look at their sketches.
 MOST_HELD = 100_000
 
 
+def sketch_classes(sizes: np.ndarray) -> np.ndarray:
+    """The number of classes in each set's sketch, SKETCH times a power of two."""
+    return SKETCH << np.ceil(np.log2(np.maximum(sizes / (SKETCH * SKETCH_LOAD), 1))).astype(np.int64)
+
+
 def _sketches(n: int):
-    """Counts of each set's shingles in SKETCH classes, at most 255; L1 distances of them never exceed the sets' difference."""
+    """Counts of each set's shingles in classes, at most 255; L1 distances of them never exceed the sets' difference."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in slices(batch):
                 h, ptr = distinct_sets(texts, n)
-                at = np.repeat(np.arange(len(texts)) * SKETCH, np.diff(ptr)) + (mix(h ^ np.uint64(0x94D049BB133111EB)) >> np.uint64(58)).astype(np.int64)
-                counts = np.minimum(np.bincount(at, minlength=len(texts) * SKETCH), 255).astype(np.uint8).tobytes()
-                rows = pa.array([counts[i : i + SKETCH] for i in range(0, len(counts), SKETCH)], pa.binary())
+                k = sketch_classes(np.diff(ptr))
+                first = np.cumsum(k) - k
+                high = (mix(h ^ np.uint64(0x94D049BB133111EB)) >> np.uint64(40)).astype(np.int64)  # a class is the first bits, so that two neighbours make one of half the resolution
+                at = np.repeat(first, np.diff(ptr)) + (high * np.repeat(k, np.diff(ptr)) >> 24)
+                counts = np.minimum(np.bincount(at, minlength=k.sum()), 255).astype(np.uint8).tobytes()
+                rows = pa.array([counts[a : a + w] for a, w in zip(first.tolist(), k.tolist())], pa.binary())
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(ptr)), rows], ["doc_id", "size", "sketch"])
 
     return run
 
 
+def folded(sketches: list[bytes], classes: int) -> np.ndarray:
+    """The sketches with `classes` classes each, at most what each of them has."""
+    if all(len(x) == classes for x in sketches):
+        return np.frombuffer(b"".join(sketches), np.uint8).reshape(-1, classes)
+    return np.array([np.minimum(np.frombuffer(x, np.uint8).reshape(classes, -1).sum(1, dtype=np.int64), 255) for x in sketches], np.uint8)
+
+
 def possible(sketch: np.ndarray, size: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
     """Whether the sketches of rows i and j leave a link possible."""
     out = np.zeros(len(i), bool)
-    for a in range(0, len(i), 1 << 16):
-        x, y = i[a : a + (1 << 16)], j[a : a + (1 << 16)]
+    step = (1 << 22) // sketch.shape[1] + 1
+    for a in range(0, len(i), step):
+        x, y = i[a : a + step], j[a : a + step]
         apart = np.abs(sketch[x].astype(np.int16) - sketch[y]).sum(1, dtype=np.int64)
-        out[a : a + (1 << 16)] = apart * (100 + percent) <= (size[x] + size[y]) * (100 - percent)
+        out[a : a + step] = apart * (100 + percent) <= (size[x] + size[y]) * (100 - percent)
     return out
 
 
@@ -207,7 +225,16 @@ def forest(sketch: np.ndarray, size: np.ndarray, percent: int) -> list[tuple[int
 def _possible_edges(percent: int, most_held: int = MOST_HELD):
     """Edges within the cells of a partition that is sorted by key; a cell may go on over batches."""
 
-    def edges(key: np.ndarray, doc: np.ndarray, size: np.ndarray, sketch: np.ndarray) -> pa.RecordBatch:
+    def edges(key: np.ndarray, doc: np.ndarray, size: np.ndarray, sketch: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """By the resolution of the cells: that of the coarsest sketch in each."""
+        start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+        least = np.minimum.reduceat([len(x) for x in sketch], start) if len(key) else start
+        classes = np.repeat(least, np.diff(np.concatenate([start, [len(key)]])))
+        for k in np.unique(classes).tolist():
+            own = classes == k
+            yield alike(key[own], doc[own], size[own], folded(sketch[own].tolist(), k))
+
+    def alike(key: np.ndarray, doc: np.ndarray, size: np.ndarray, sketch: np.ndarray) -> pa.RecordBatch:
         start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
         n = np.diff(np.concatenate([start, [len(key)]]))
         a, b = [], []
@@ -237,7 +264,7 @@ def _possible_edges(percent: int, most_held: int = MOST_HELD):
             if not batch.num_rows:
                 continue
             rows = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "doc_id", "size")]
-            rows.append(np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH))
+            rows.append(np.array(batch.column("sketch").to_pylist(), object))
             held = rows if held is None else [np.concatenate(x) for x in zip(held, rows)]
             if flat and held[0][0] != held[0][-1]:
                 end = int(np.searchsorted(held[0], held[0][0], side="right"))
@@ -245,13 +272,13 @@ def _possible_edges(percent: int, most_held: int = MOST_HELD):
                 held, flat = [x[end:] for x in held], False
             cut_at = int(np.searchsorted(held[0], held[0][-1]))
             if cut_at:
-                yield edges(*(x[:cut_at] for x in held))
+                yield from edges(*(x[:cut_at] for x in held))
                 held = [x[cut_at:] for x in held]
             if len(held[0]) > most_held:
                 yield star(*held)
                 held, flat = [x[:1] for x in held], True
         if held is not None:
-            yield (star if flat else edges)(*held)
+            yield from [star(*held)] if flat else edges(*held)
 
     return run
 
@@ -590,7 +617,7 @@ def jaccard_join(docs: DataFrame, shingle: int = 5, percent: int = 80, region_ro
     met = cut(cells.join(small(cut(shared), 64), "key", "left_semi").select("doc_id", "key"))
     asked = small(cut(met.select("doc_id").distinct()), 8)
     sketches = cut(docs.join(asked, "doc_id", "left_semi").mapInArrow(_sketches(shingle), "doc_id long, size long, sketch binary"))
-    dealt = met.join(small(sketches, 96), "doc_id").repartition("key").sortWithinPartitions("key")
+    dealt = met.join(small(sketches, 256), "doc_id").repartition("key").sortWithinPartitions("key")
     edges = dealt.mapInArrow(_possible_edges(percent), "first long, doc_id long").distinct()
     regions = cut(connected_components(edges, "first", "doc_id"))
     wanted = regions.join(groups.select(F.col("rep").alias("node"), "copies"), "node").select(F.col("node").alias("doc_id"), F.col("component").alias("region"), "copies")

@@ -80,6 +80,26 @@ def test_every_link_has_a_cell_in_common():
     assert linked > 20
 
 
+def test_sketches_keep_links_and_part_strangers():
+    r = random.Random(11)
+    texts = [t for n in (300, 900, 3000, 9000) for t in (*_family(r, 3, n, n // 60), *_family(r, 1, n, 1), *_family(r, 1, n, 1))]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    (out,) = [pa.Table.from_batches(list(J._sketches(5)(iter([batch]))))]
+    size, sketch = out.column("size").to_numpy(), out.column("sketch").to_pylist()
+    h, ptr = J.distinct_sets(texts_of(pa.array(texts)), 5)
+    sets = [frozenset(h[a:b].tolist()) for a, b in zip(ptr, ptr[1:])]
+    parted = 0
+    for a in range(len(texts)):
+        for b in range(a):
+            rows = J.folded([sketch[a], sketch[b]], min(len(sketch[a]), len(sketch[b])))
+            may = J.possible(rows, size[[a, b]], np.array([0]), np.array([1]), 80)[0]
+            linked = 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+            assert may or not linked
+            parted += not may
+            assert not may or sets[a] & sets[b]  # strangers are told apart, whatever their size
+    assert parted > 100
+
+
 def test_regions_are_joined_exactly():
     r = random.Random(2)
     texts = [t for _ in range(30) for t in _family(r, 8, 60, 4)]
