@@ -43,8 +43,8 @@ from pyspark.sql import functions as F
 from gneiss.llm.text import Texts, mix, powers, slices, small_batches
 from gneiss.operators.lineage import cut, small
 
-#: Segments of one collection; an anchor of more has a collection of its own.
-COLLECTION = 4096
+#: Segments of one collection, whose columns stay in a core's cache; an anchor of more has a collection of its own.
+COLLECTION = 1024
 #: The windows of anchors with more different segments are compared by their hashes, over all tasks.
 CROWD = 20_000
 IN_MEMORY = 40_000_000
@@ -149,7 +149,8 @@ class Columns:
         bwt[n + k] = np.where(depth < self.size[owner], self.symbols[np.maximum(where, 0)], NONE)
         who[n + k] = (owner << 16) | depth
         # prefixes of the inserted ones and of those after them
-        change = np.unique(np.concatenate([k, k + 1]))
+        after = k[np.append(k[1:] != k[:-1] + 1, True)[: len(k)]] + 1
+        change = np.sort(np.concatenate([k, after]), kind="stable")
         change = change[change < len(order)]
         c = old[order]
         same = (change > 0) & (c[change] == c[change - 1])
