@@ -1,7 +1,10 @@
 """The whole run: raw pages to clean tables, resolved entities, marts and a gated publication.
 
-python -m gneiss.plans.pipeline RAW_DIR OUT_DIR --as-of 2026-07-01 [--only STEP]
-RAW_DIR holds a folder of JSON lines for each source; a missing one is skipped.
+python -m gneiss.plans.pipeline RAW OUT_DIR --as-of 2026-07-01 [--only STEP] [--incremental] [--max-records N] [--full-refresh]
+RAW is a folder with a folder of JSON lines for each source, of which missing
+ones are skipped, or the address of an API. From an API, --incremental asks
+for records updated after the newest stored one and --max-records (0: none)
+caps each source. --full-refresh rebuilds the incremental facts.
 """
 
 from __future__ import annotations
@@ -17,8 +20,9 @@ from pyspark.sql import functions as F
 from gneiss.config import Settings
 from gneiss.functions.fixed import OWNER_CONTACTS
 from gneiss.operators import clustering, matching, quality
-from gneiss.operators.versions import RunLog
+from gneiss.operators.versions import RunLog, incremental, watermark
 from gneiss.plans import marts, normalize
+from gneiss.sources.api import read_api
 from gneiss.sources.registry import SOURCES, envelope, read_pages
 from gneiss.streaming.ingest import append_new
 
@@ -69,10 +73,19 @@ class Warehouse:
         self.runs.write(run, name, "success", n)
 
 
-def ingest(w: Warehouse, key: str, pages_path: str) -> int:
+def pull(w: Warehouse, key: str, base: str, incremental: bool = False, max_records: int | None = None) -> int:
+    """ingest() from the API at `base`; incremental: only records updated after the newest one in raw.<key>."""
+    src = SOURCES[key]
+    mark = watermark(w.read(f"raw.{key}")) if incremental and w.exists(f"raw.{key}") else None
+    where = src.predicate(mark.isoformat(timespec="milliseconds") if mark else None)
+    cap = None if max_records is None else str(max_records)
+    return ingest(w, key, read_api(w.spark, f"{base.rstrip('/')}/resource/{src.dataset_id}.json", where=where, fields=",".join(src.select_fields), max_records=cap).select("payload"))
+
+
+def ingest(w: Warehouse, key: str, pages: DataFrame) -> int:
     """Appends the pages' new versions to raw.<key>, rejects to meta.rejected_records; fails before loading if a critical field is missing."""
     src = SOURCES[key]
-    pages = read_pages(w.spark, pages_path)
+    pages = pages.persist()  # an API is asked once
     first = pages.limit(50)
     if src.critical_fields and first.count():
         keys = {r[0] for r in first.select(F.explode(F.expr("json_object_keys(payload)"))).distinct().collect()}
@@ -82,6 +95,7 @@ def ingest(w: Warehouse, key: str, pages_path: str) -> int:
     n = append_new(marked.where("reason is null").drop("reason"), w.path(f"raw.{key}"))
     marked.where("reason is not null").withColumn("source", F.lit(key)).write.mode("append").parquet(w.path("meta.rejected_records"))
     marked.unpersist()
+    pages.unpersist()
     return n
 
 
@@ -119,7 +133,13 @@ def resolve(w: Warehouse, settings: Settings) -> int:
     return matches.count()
 
 
-def build_marts(w: Warehouse, as_of: datetime) -> int:
+def update_complaints(w: Warehouse, staged: DataFrame, full_refresh: bool = False) -> DataFrame:
+    """marts.fct_complaints with the staged complaints created after its newest one; older changes wait for a full refresh."""
+    table = "marts.fct_complaints"
+    return w.replace(table, incremental(w.read(table), staged, "complaint_id", "created_date", full_refresh) if w.exists(table) else staged)
+
+
+def build_marts(w: Warehouse, as_of: datetime, full_refresh: bool = False) -> int:
     er = lambda t: w.read(f"er.{t}")
     c_stg = marts.stg_complaints(w.read("clean.complaints"), er("map_complaints"), as_of)
     p_stg = marts.stg_permits(w.read("clean.permits"), er("map_permits"))
@@ -132,7 +152,7 @@ def build_marts(w: Warehouse, as_of: datetime) -> int:
     b = w.replace("intermediate.int_property_businesses", marts.property_businesses(l_stg))
     owned = w.replace("intermediate.int_owner_properties", marts.owner_properties(er("map_property_owners"), dim))
     w.replace("marts.bridge_property_source", marts.bridge(er("map_complaints"), er("map_permits"), er("map_licenses")))
-    w.replace("marts.fct_complaints", c_stg)
+    update_complaints(w, c_stg, full_refresh)
     w.replace("marts.mart_property_risk", marts.property_risk(dim, c, p, b))
     w.replace("marts.mart_landlord_performance", marts.landlord_performance(owned, c, p, owners))
     w.replace("marts.mart_neighborhood_operations", marts.neighborhood_operations(dim, c, p, b))
@@ -169,11 +189,14 @@ def publish(w: Warehouse, target: str, settings: Settings) -> int:
     return len(PUBLISHED)
 
 
-def run(spark: SparkSession, raw_dir: str, out_dir: str, as_of: datetime, only: str | None = None, settings: Settings | None = None) -> Warehouse:
+def run(spark: SparkSession, raw: str, out_dir: str, as_of: datetime, only: str | None = None, settings: Settings | None = None, new_only: bool = False, max_records: int | None = None, full_refresh: bool = False) -> Warehouse:
     s, w = settings or Settings.from_env(), Warehouse(spark, out_dir)
-    here = Warehouse(spark, raw_dir)
-    steps = {f"ingest.{k}": (lambda k=k: ingest(w, k, f"{raw_dir}/{k}") if here.exists(k) else 0) for k in SOURCES}
-    steps |= {"normalize": lambda: normalise(w), "resolve": lambda: resolve(w, s), "marts": lambda: build_marts(w, as_of), "publish": lambda: publish(w, f"{out_dir}/published", s)}
+    here = Warehouse(spark, raw)
+    if raw.startswith(("http://", "https://")):
+        steps = {f"ingest.{k}": (lambda k=k: pull(w, k, raw, new_only, max_records)) for k in SOURCES}
+    else:
+        steps = {f"ingest.{k}": (lambda k=k: ingest(w, k, read_pages(spark, f"{raw}/{k}")) if here.exists(k) else 0) for k in SOURCES}
+    steps |= {"normalize": lambda: normalise(w), "resolve": lambda: resolve(w, s), "marts": lambda: build_marts(w, as_of, full_refresh), "publish": lambda: publish(w, f"{out_dir}/published", s)}
     for name, work in steps.items():
         if only is None or name == only or name.startswith(f"{only}."):
             w.step(name, work)
@@ -184,9 +207,12 @@ if __name__ == "__main__":
     from gneiss.session import session
 
     p = argparse.ArgumentParser(description=__doc__)
-    p.add_argument("raw_dir")
+    p.add_argument("raw")
     p.add_argument("out_dir")
     p.add_argument("--as-of", required=True, type=datetime.fromisoformat)
     p.add_argument("--only")
+    p.add_argument("--incremental", action="store_true")
+    p.add_argument("--max-records", type=int)
+    p.add_argument("--full-refresh", action="store_true")
     a = p.parse_args()
-    run(session("gneiss"), a.raw_dir, a.out_dir, a.as_of, a.only)
+    run(session("gneiss"), a.raw, a.out_dir, a.as_of, a.only, None, a.incremental, a.max_records, a.full_refresh)

@@ -9,12 +9,14 @@ from __future__ import annotations
 
 import json
 import random
+import sys
 import time
 import urllib.error
 import urllib.parse
 import urllib.request
 from collections.abc import Callable, Iterator
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual
 
 from gneiss.config import IngestSettings
@@ -74,40 +76,64 @@ def pages(url: str, where: str | None, fields: tuple[str, ...], s: IngestSetting
 
 
 class OpenDataSource(DataSource):
-    """format("opendata") with options url, where, fields, bounds (comma-separated row ids that cut partitions) and limits."""
+    """format("opendata"): the API's rows as text columns, and whole as JSON in `payload`.
+
+    Options: url; where, a filter for the API; fields, comma-separated; ordered,
+    those of the fields whose order at the API is that of their text, as of
+    dates; bounds, comma-separated row ids that cut partitions; page_size; and
+    max_records, a cap on the whole read (0: none), which takes one partition
+    because pages are then counted in the order of row ids.
+    """
 
     @classmethod
     def name(cls) -> str:
         return "opendata"
 
     def schema(self) -> str:
-        return "payload string"
+        return ", ".join(f"`{f}` string" for f in (":id", ":updated_at", *_listed(self.options, "fields"), "payload"))
 
     def reader(self, schema) -> DataSourceReader:
-        return _Reader(dict(self.options))
+        return _Reader(dict(self.options), [f.name for f in schema.fields])
+
+
+def _listed(options: dict, key: str) -> tuple[str, ...]:
+    return tuple(x.strip() for x in options.get(key, "").split(",") if x.strip())
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, options: dict):
-        self.options, self.pushed = options, []
+    """Filters go to the API and are applied again by Spark, so that a looser reading there does no harm."""
+
+    def __init__(self, options: dict, columns: list[str]):
+        self.options, self.columns, self.pushed = options, columns, []
 
     def pushFilters(self, filters: list):
         marks = {EqualTo: "=", GreaterThan: ">", GreaterThanOrEqual: ">=", LessThan: "<", LessThanOrEqual: "<="}
+        ordered = {":id", ":updated_at", *_listed(self.options, "ordered")}
         for f in filters:
-            if type(f) in marks and f.attribute != ("payload",) and isinstance(f.value, (str, int, float)):
-                self.pushed.append(f"{'.'.join(f.attribute)} {marks[type(f)]} {json.dumps(f.value) if not isinstance(f.value, str) else repr(f.value)}")
-            else:
-                yield f
+            name = ".".join(getattr(f, "attribute", ()))
+            if type(f) in marks and name != "payload" and (type(f) is EqualTo or name in ordered) and isinstance(f.value, str):
+                literal = f.value.replace("'", "''")
+                self.pushed.append(f"{name} {marks[type(f)]} '{literal}'")
+            yield f
 
     def partitions(self):
-        cuts = [x for x in self.options.get("bounds", "").split(",") if x]
+        cuts = _listed(self.options, "bounds") if self._limits().max_records == sys.maxsize else ()
         return [InputPartition(x) for x in zip([None, *cuts], [*cuts, None])]
 
+    def _limits(self) -> IngestSettings:
+        o, s = self.options, IngestSettings()
+        return IngestSettings(max_records=int(o.get("max_records", s.max_records)) or sys.maxsize, page_size=int(o.get("page_size", s.page_size)))
+
     def read(self, partition):
         o = self.options
-        s = IngestSettings(max_records=int(o.get("max_records", 50_000)), page_size=int(o.get("page_size", 10_000)))
-        where = " AND ".join(x for x in [o.get("where"), *self.pushed] if x) or None
-        fields = tuple(x for x in o.get("fields", "").split(",") if x)
-        for page in pages(o["url"], where, fields, s, *partition.value):
+        parts = [f"({x})" for x in (o.get("where"), *self.pushed) if x]
+        for page in pages(o["url"], " AND ".join(parts) or None, _listed(o, "fields"), self._limits(), *partition.value):
             for row in page:
-                yield (json.dumps(row),)
+                yield tuple(json.dumps(row) if c == "payload" else None if (v := row.get(c)) is None else v if isinstance(v, str) else json.dumps(v) for c in self.columns)
+
+
+def read_api(spark: SparkSession, url: str, **options: str) -> DataFrame:
+    """The rows at `url`; see OpenDataSource for the options."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(OpenDataSource)
+    return spark.read.format("opendata").options(url=url, **{k: v for k, v in options.items() if v is not None}).load()
