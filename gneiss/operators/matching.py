@@ -124,18 +124,43 @@ def method_histogram(matches: DataFrame) -> DataFrame:
     return matches.groupBy("match_method").agg(F.count("*").alias("mentions"), F.sum("n_records").alias("records"))
 
 
-def blinded_evaluation(mention: DataFrame, reference: DataFrame, settings: Settings | None = None) -> DataFrame:
-    """Bands, precision and recall when known lots are hidden and matched again by address."""
+def blinded_outcomes(mention: DataFrame, reference: DataFrame, settings: Settings | None = None) -> DataFrame:
+    """(mention_id, band, strict, building) of mentions whose known lot is hidden and matched again by address.
+
+    strict: the same lot; building: a lot of the same borough and address.
+    Bands are address_exact, fuzzy, review, unmatched and no_address.
+    """
     s = settings or Settings()
-    known = mention.where("bbl is not null").join(reference.select("bbl"), "bbl", "left_semi")
-    truth = known.select("mention_id", F.col("bbl").alias("truth"))
+    lots = reference.select("bbl", "borough", "normalized_address")
+    known = mention.where("bbl is not null").join(lots.select("bbl"), "bbl", "left_semi")
     result = match_properties(known.withColumn("bbl", F.lit(None).cast("string")), reference, s)
-    got = result["matches"].select("mention_id", F.expr("replace(property_id, 'P', '')").alias("got"), F.col("match_method").alias("method"))
-    review = result["review"].select("mention_id", F.col("candidate_bbl").alias("queued"))
-    rows = truth.join(got, "mention_id", "left").join(review, "mention_id", "left")
-    band = F.when(F.col("method").isin("address_exact", "fuzzy"), F.col("method")).when(F.col("queued").isNotNull(), "review").otherwise("none")
-    hit = F.coalesce(F.when(band == "review", F.col("queued")).otherwise(F.col("got")) == F.col("truth"), F.lit(False))
-    return rows.select(band.alias("band"), hit.alias("hit")).groupBy("band").agg(F.count("*").alias("n"), F.count_if("hit").alias("correct"))
+    got = result["matches"].where("match_method in ('address_exact', 'fuzzy')").select("mention_id", F.expr("substr(property_id, 2)").alias("lot"), F.col("match_method").alias("band"))
+    queued = result["review"].select("mention_id", F.col("candidate_bbl").alias("lot"), F.lit("review").alias("band"))
+    side = lambda x: lots.select([F.col(c).alias(f"{x}_{c}") for c in lots.columns])
+    rows = known.select("mention_id", F.col("bbl").alias("truth"), F.col("normalized_address").isNull().alias("blank")).join(got.unionByName(queued), "mention_id", "left")
+    rows = rows.join(side("t"), F.col("truth") == F.col("t_bbl")).join(side("g"), F.col("lot") == F.col("g_bbl"), "left")
+    building = (F.col("g_borough") == F.col("t_borough")) & (F.col("g_normalized_address") == F.col("t_normalized_address"))
+    band = F.when(F.col("blank"), "no_address").otherwise(F.coalesce("band", F.lit("unmatched")))
+    return rows.select("mention_id", band.alias("band"), F.coalesce(F.col("lot") == F.col("truth"), F.lit(False)).alias("strict"), F.coalesce(building, F.lit(False)).alias("building"))
+
+
+def blinded_evaluation(outcomes: DataFrame) -> DataFrame:
+    """Each band's outcomes: how many, how many right, and precisions by lot and by building."""
+    out = outcomes.groupBy("band").agg(F.count("*").alias("n"), F.count_if("strict").alias("strict_correct"), F.count_if("building").alias("building_correct"))
+    matched = F.col("band").isin("address_exact", "fuzzy", "review")
+    return out.withColumns({f"precision_{k}": F.when(matched, F.round(F.col(f"{k}_correct") / F.col("n"), 4)) for k in ("strict", "building")}).orderBy("band")
+
+
+def blinded_measures(outcomes: DataFrame) -> DataFrame:
+    """One row over all bands: the review band counts as not matched, mentions without an address not at all."""
+    auto = F.col("band").isin("address_exact", "fuzzy")
+    c = outcomes.agg(
+        F.count_if(F.col("band") != "no_address").alias("eval_n"), F.count_if(F.col("band") == "no_address").alias("excluded_no_address"), F.count_if(F.col("band") == "unmatched").alias("unmatched"),
+        F.count_if(auto & F.col("strict")).alias("tp"), F.count_if(auto & ~F.col("strict")).alias("fp"),
+    )
+    rate = lambda x, y: F.round(x / F.nullif(y, F.lit(0)), 4)
+    tp, fp, n = F.col("tp"), F.col("fp"), F.col("eval_n")
+    return c.withColumns({"precision_strict": rate(tp, tp + fp), "recall_strict": rate(tp, n), "false_positive_rate": rate(fp, n), "false_negative_rate": rate(n - tp - fp, n)})
 
 
 def name_evaluation(pairs: DataFrame, similarity: Column, settings: Settings | None = None) -> DataFrame:

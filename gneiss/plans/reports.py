@@ -20,6 +20,7 @@ from gneiss.functions.convert import coordinates, local_timestamp
 from gneiss.functions.fixed import STREET_SUFFIXES
 from gneiss.functions.similarity import name_similarity, token_set_ratio
 from gneiss.operators import matching, quality
+from gneiss.operators.lineage import cut
 from gneiss.plans.pipeline import Warehouse
 
 
@@ -84,7 +85,8 @@ def hash_sample(rows: DataFrame, key: str, n: int, seed: int) -> DataFrame:
 def evaluation(w: Warehouse, pairs: str | None = None, sample: int = 20_000, seed: int = 7) -> str:
     """Blinded property bands, and the name rules beside plain set ratios."""
     known = hash_sample(w.read("er.property_mentions").where("bbl is not null"), "mention_id", sample, seed)
-    out = markdown(matching.blinded_evaluation(known, w.read("clean.pluto_lots")), "Property matching, lots hidden")
+    outcomes = cut(matching.blinded_outcomes(known, w.read("clean.pluto_lots")))
+    out = markdown(matching.blinded_evaluation(outcomes), "Property matching, lots hidden") + "\n" + markdown(matching.blinded_measures(outcomes), "All bands")
     if pairs:
         rows = labelled_pairs(w.spark, pairs)
         a, b = F.col("name_a"), F.col("name_b")

@@ -120,8 +120,28 @@ def test_property_cascade(spark):
     assert not props["P4999999999"].in_pluto and props["P4999999999"].house_number == "5"
     links = matching.record_map(_mentions(spark).withColumnRenamed("source_record_id", "complaint_id"), "complaint_id", "complaints", mention, found["matches"])
     assert links.count() == 6
-    bands = {r.band: (r.n, r.correct) for r in matching.blinded_evaluation(mention, _lots(spark)).collect()}
-    assert bands == {"address_exact": (1, 1)}
+
+
+def test_blinded_evaluation(spark):
+    at = lambda n, bbl, house, street, address: (str(n), house, street, "ROAD", "QUEENS", "11101", bbl, address, None, None)
+    rows = [
+        at(1, "4000010001", "5", "OAK", "5 OAK STREET"),
+        at(2, "4000020001", "7", "ELM", "7 ELM ROAD"),  # two lots share the address; the larger is taken
+        at(3, "4000030002", "9", "MAPLEE", "9 MAPLEE ROAD"),  # of equal scores the smaller lot
+        at(4, "4000010001", "80", "FAR", "80 FAR ROAD"),
+        at(5, "4000010001", None, None, None),
+        at(6, None, "5", "OAK", "5 OAK STREET"),
+        at(7, "4999999999", "5", "OAK", "5 OAK STREET"),  # no such lot
+    ]
+    mention = matching.mentions(complaints=spark.createDataFrame(rows, ADDRESS))
+    for auto, maple in ((0.85, "fuzzy"), (0.999, "review")):
+        outcomes = matching.blinded_outcomes(mention, _lots(spark), Settings(review_threshold=0.3, auto_match_threshold=auto))
+        got = {r.band: (r.n, r.strict_correct, r.building_correct, r.precision_strict, r.precision_building) for r in matching.blinded_evaluation(outcomes).collect()}
+        assert got == {"address_exact": (2, 1, 2, 0.5, 1.0), maple: (1, 0, 1, 0.0, 1.0), "unmatched": (1, 0, 0, None, None), "no_address": (1, 0, 0, None, None)}
+        r = matching.blinded_measures(outcomes).head()
+        wrong = 2 if maple == "fuzzy" else 1
+        assert (r.eval_n, r.excluded_no_address, r.unmatched, r.tp, r.fp) == (4, 1, 1, 1, wrong)
+        assert (r.precision_strict, r.recall_strict, r.false_positive_rate, r.false_negative_rate) == (round(1 / (1 + wrong), 4), 0.25, wrong / 4, (3 - wrong) / 4)
 
 
 def test_oversize_blocks_are_skipped(spark):
