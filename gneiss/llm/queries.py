@@ -118,5 +118,44 @@ FROM p LEFT JOIN f ON p.d = f.d AND n >= 100
 """
 
 
+_OP3 = """
+WITH d AS (SELECT doc_id, strlen(coalesce(text, '')) AS n, hex(encode(coalesce(text, ''))) AS x FROM documents),
+p AS (SELECT doc_id, i, md5_number(substr(x, 2 * i + 1, 400)) AS h FROM (SELECT doc_id, x, unnest(range(n - 199)) AS i FROM d)),
+q AS (SELECT h FROM p GROUP BY h HAVING count(*) > 1),
+c AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM p SEMI JOIN q USING (h)),
+r AS (SELECT doc_id, i, count(*) FILTER (before IS NULL OR i > before + 200) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM c),
+s AS (SELECT doc_id, min(i) AS a, max(i) + 200 AS b FROM r GROUP BY doc_id, run),
+k AS (
+  SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS b FROM s
+  UNION ALL SELECT d.doc_id, coalesce(max(b), 0), n FROM d LEFT JOIN s USING (doc_id) GROUP BY d.doc_id, n)
+SELECT d.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(n - sum(b - a) AS BIGINT) AS n_removed, CAST(count(*) - 1 AS BIGINT) AS n_spans,
+  sha256(unhex(string_agg(substr(x, 2 * a + 1, 2 * (b - a)), '' ORDER BY a))) AS kept_sha256
+FROM d JOIN k USING (doc_id) GROUP BY d.doc_id, n, x
+"""
+
+
+# An item of up to 64 words lies in one passage of 128 words, a longer one anywhere in the document.
+_OP5 = r"""
+WITH w AS (
+  SELECT doc_id, NULL AS item_id, text FROM documents UNION ALL SELECT NULL, item_id, text FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+v AS (
+  SELECT doc_id, item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS a FROM w),
+g AS (
+  SELECT doc_id, item_id, i, len(a) AS n, greatest(len(a) - 4, 1) AS grams, array_to_string(a[i + 1:i + 5], ' ') AS s
+  FROM (SELECT *, unnest(range(greatest(len(a) - 4, 1))) AS i FROM v WHERE len(a) > 0)),
+b AS (SELECT DISTINCT item_id, n > 64 AS long, i >= (grams + 1) // 2 AS answer, s FROM g WHERE item_id IS NOT NULL),
+z AS (SELECT item_id, answer, count(*) AS size FROM b GROUP BY ALL),
+h AS (
+  SELECT DISTINCT doc_id, b.item_id, answer, s, CASE WHEN long THEN -1 ELSE i // 64 - back END AS passage
+  FROM g JOIN b USING (s), (VALUES (0), (1)) AS t(back)
+  WHERE doc_id IS NOT NULL AND (long OR (i // 64 >= back AND i - 64 * (i // 64 - back) < 124 AND i // 64 - back <= greatest((n + 63) // 64 - 2, 0)))),
+c AS (SELECT doc_id, item_id, passage, answer, count(*) AS k FROM h GROUP BY ALL),
+f AS (SELECT doc_id, item_id, passage, count(*) AS parts FROM c JOIN z USING (item_id, answer) WHERE 100 * k >= 80 * size GROUP BY ALL),
+y AS (SELECT DISTINCT doc_id, item_id FROM f JOIN (SELECT item_id, count(*) AS parts FROM z GROUP BY ALL) USING (item_id, parts)),
+o AS (SELECT doc_id, count(*) AS n_items, min(item_id) AS first_item FROM y GROUP BY ALL)
+SELECT d.doc_id, n_items IS NOT NULL AS contaminated, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, first_item FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN o USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_jaccard_join": _OP2, "op7_warc": _OP7, "op10_mixing": _OP10}
+    return {"op2_jaccard_join": _OP2, "op3_suffix_dedup": _OP3, "op5_decontamination": _OP5, "op7_warc": _OP7, "op10_mixing": _OP10}
