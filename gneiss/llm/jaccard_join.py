@@ -300,11 +300,15 @@ class Sets:
     def __init__(self, blobs: list[bytes]):
         sets = [np.frombuffer(x, np.uint64) for x in blobs]
         self.sizes = np.array([len(x) for x in sets], np.int64)
-        all_, back, count = np.unique(np.concatenate(sets) if sets else np.zeros(0, np.uint64), return_inverse=True, return_counts=True)
-        shared = count > 1
-        number = np.cumsum(shared) - 1
-        ptr = np.concatenate([[0], np.cumsum(self.sizes)])
-        self.tokens = [number[b[shared[b]]] for b in (back[a:e] for a, e in zip(ptr, ptr[1:]))]
+        all_ = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+        all_.sort()
+        shared = np.unique(all_[1:][all_[1:] == all_[:-1]])
+        del all_
+        self.tokens = []
+        for x in sets:
+            at = np.searchsorted(shared, x)
+            at[at == len(shared)] = 0
+            self.tokens.append((at[shared[at] == x] if len(shared) else at[:0]).astype(np.int32))
 
     def common(self, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
         """Sizes of the intersections of rows with cols, by blocks of bounded width."""
