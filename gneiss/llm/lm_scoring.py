@@ -7,9 +7,8 @@ group's times its own in the group: two short softmaxes. Logits are those of one
 feed-forward layer in numpy, added to two tables counted over the whole
 training fold: what follows a frequent piece, directly and with one piece
 between. The weights learn by Adam from
-windows of the whole fold, all of a small one and one in MOST_EVERY of each
-text of a large one: shards of them train side by side, and the weights are averaged after each of ROUNDS rounds, so
-that what is learned from grows with the corpus and no task holds it all.
+all windows of the whole fold, each token of it once: the windows stay in the partitions of their texts, which train side
+by side as shards, and the weights are averaged after each of ROUNDS rounds, so that no task holds the fold.
 
 A text is scored in windows of WINDOW inputs, each CONTEXT inputs over the one
 before: queries of the new inputs attend to all inputs before them in the
@@ -25,6 +24,7 @@ have it, where its documents are scored. No word table is ever broadcast.
 from __future__ import annotations
 
 import itertools
+import math
 import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -42,12 +42,12 @@ TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 WINDOW, CONTEXT, WIDTH, HIDDEN, GROUPS, MEMBERS, CLUSTERS = 32, 8, 24, 32, 32, 32, 32
 CLASSES = GROUPS * MEMBERS
 STEP = WINDOW - CONTEXT
-#: One window in `every` of each text is learned from: one for each PIECES_EVERY training pieces, at least 1 and at most MOST_EVERY.
-PIECES_EVERY, MOST_EVERY = 4_000_000, 64
 #: Rounds, windows a step, and in each round a shard sees its part once, or up to MOST_PASSES times to make LEAST_STEPS steps.
 ROUNDS, BATCH, LEAST_STEPS, MOST_PASSES = 2, 64, 400, 4
-#: Windows of a shard, and the most shards; beyond it shards grow.
-SHARD_WINDOWS, MOST_SHARDS = 32_768, 128
+#: Windows of a shard at least, unless there are fewer in all.
+SHARD_WINDOWS = 32_768
+#: Most sets of weights that the driver gets at once, and cells of a counted table in a row.
+MOST_WEIGHTS, ROW_CELLS = 128, 1 << 16
 #: Rows of the counted tables: frequent pieces, one for all others, one for what is before a text.
 OTHER, BEFORE = 256, 257
 #: Windows that are scored at once: their logits stay in the processor's cache.
@@ -153,63 +153,87 @@ class Attention:
             loss, grad = self._gradients(x[:, :-1], x[:, 2:])
             now = rate * min(1, step / 50) * (1 - step / (steps + 1)) ** 0.5
             for k, g in grad.items():
-                m[k] = 0.9 * m[k] + 0.1 * g
-                s[k] = 0.99 * s[k] + 0.01 * g * g
-                self.w[k] -= (now * m[k] / (1 - 0.9**step) / (np.sqrt(s[k] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
+                m[k] *= 0.9
+                m[k] += 0.1 * g
+                s[k] *= 0.99
+                s[k] += 0.01 * g * g
+                below = np.sqrt(s[k])
+                below *= 1 / math.sqrt(1 - 0.99**step)
+                below += 1e-8
+                self.w[k] -= np.float32(now / (1 - 0.9**step)) * m[k] / below
         return float(loss)
 
     def _gradients(self, before: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Loss and gradients of the classes y; `before` are the inputs, with one more in front. Classes beyond CLASSES are not there."""
-        w, scale = self.w, np.float32(WIDTH**-0.5)
+        w, scale, shape = self.w, np.float32(WIDTH**-0.5), (*y.shape, WIDTH)
         before = np.minimum(before, CLASSES)
-        x, x2 = before[:, 1:], before[:, :-1]
-        known = y < CLASSES
-        e = w["e"][x] + w["pos"]
-        q, k, v = e @ w["q"], e @ w["k"], e @ w["v"]
-        a = _softmax(q @ k.transpose(0, 2, 1) * scale + self.mask)
-        c = a @ v
+        x, x2 = before[:, 1:].ravel(), before[:, :-1].ravel()
+        flat = lambda m: m.reshape(-1, m.shape[-1])
+        e = flat(w["e"].take(x, 0).reshape(shape) + w["pos"])
+        q, k, v = ((e @ w[c]).reshape(shape) for c in "qkv")
+        a = q @ np.ascontiguousarray(k.transpose(0, 2, 1))
+        a *= scale
+        a += self.mask
+        a, total, _ = _exp(a)
+        a /= total[..., None]
+        c = flat(a @ v)
         h = e + c @ w["o"]
-        z = np.maximum(h @ w["w1"] + w["b1"], 0)
+        z = h @ w["w1"]
+        z += w["b1"]
+        np.maximum(z, 0, out=z)
         f = h + z @ w["w2"]
-        flat = lambda m: m.reshape(-1, m.shape[-1])
-        at = np.flatnonzero(known)
-        n = max(len(at), 1)
-        group, member = y.ravel()[at] // MEMBERS, y.ravel()[at] % MEMBERS
-        fk, r1, r2 = flat(f)[at], self.row[x.ravel()[at]], self.row[x2.ravel()[at]]
-        loss, g, dk = 0.0, {"a1": np.zeros(1), "a2": np.zeros(1)}, np.zeros_like(fk)
-        for logits, tables, right in ((fk @ w["ug"] + w["bg"], [t[r] for t, r in zip(self.group, (r1, r2))], group), (_by_group(fk, w["uc"], group) + w["bc"][group], [t[r, group] for t, r in zip(self.member, (r1, r2))], member)):
-            d = _softmax(logits + w["a1"] * tables[0] + w["a2"] * tables[1])
-            loss -= np.log(d[np.arange(len(at)), right] + 1e-12).sum() / n
-            d[np.arange(len(at)), right] -= 1
+        at = np.flatnonzero(y.ravel() < CLASSES)
+        right = y.ravel()[at]
+        order, parts = _sorted(right // MEMBERS)
+        at, right = at[order], right[order]  # the known classes, group by group
+        n, i = max(len(at), 1), np.arange(len(at))
+        group, member = right // MEMBERS, right % MEMBERS
+        fk, r1, r2 = f.take(at, 0), self.row[x[at]], self.row[x2[at]]
+        own = np.empty((len(at), MEMBERS), fk.dtype)
+        for j, part in parts:
+            np.matmul(fk[part], w["uc"][j], out=own[part])
+            own[part] += w["bc"][j]
+        loss, g, d_parts = 0.0, {"a1": np.zeros(1), "a2": np.zeros(1)}, []
+        for d, tables, rows, target in ((fk @ w["ug"] + w["bg"], self.group, (r1, r2), group), (own, [m.reshape(-1, MEMBERS) for m in self.member], (r1 * GROUPS + group, r2 * GROUPS + group), member)):
+            counted = [m.take(r, 0) for m, r in zip(tables, rows)]
+            for c_, name in zip(counted, ("a1", "a2")):
+                d += w[name] * c_
+            d, total, _ = _exp(d)
+            d /= total[:, None]
+            loss -= np.log(d[i, target] + 1e-12).sum() / n
+            d[i, target] -= 1
             d /= n
-            g["a1"] += (d * tables[0]).sum()
-            g["a2"] += (d * tables[1]).sum()
-            if right is group:
-                g["ug"], g["bg"] = fk.T @ d, d.sum(0)
-                dk += d @ w["ug"].T
-            else:
-                g["uc"], g["bc"] = np.zeros_like(w["uc"]), np.zeros_like(w["bc"])
-                order, parts = _sorted(group)
-                for i, own in ((i, order[part]) for i, part in parts):
-                    g["uc"][i], g["bc"][i] = fk[own].T @ d[own], d[own].sum(0)
-                    dk[own] += d[own] @ w["uc"][i].T
-        df = np.zeros_like(flat(f))
+            for c_, name in zip(counted, ("a1", "a2")):
+                g[name] += np.vdot(d, c_)
+            d_parts.append(d)
+        dg, dm = d_parts
+        g["ug"], g["bg"] = fk.T @ dg, dg.sum(0)
+        g["uc"], g["bc"] = np.zeros_like(w["uc"]), np.zeros_like(w["bc"])
+        dk = dg @ w["ug"].T
+        for j, part in parts:
+            g["uc"][j], g["bc"][j] = fk[part].T @ dm[part], dm[part].sum(0)
+            dk[part] += dm[part] @ w["uc"][j].T
+        df = np.zeros_like(f)
         df[at] = dk
-        df = df.reshape(f.shape)
-        dz = (df @ w["w2"].T) * (z > 0)
-        g["w2"], g["w1"], g["b1"] = flat(z).T @ flat(df), flat(h).T @ flat(dz), flat(dz).sum(0)
+        dz = df @ w["w2"].T
+        dz *= z > 0
+        g["w2"], g["w1"], g["b1"] = z.T @ df, h.T @ dz, dz.sum(0)
         dh = df + dz @ w["w1"].T
-        g["o"] = flat(c).T @ flat(dh)
-        dc = dh @ w["o"].T
-        da = dc @ v.transpose(0, 2, 1)
-        dv = a.transpose(0, 2, 1) @ dc
-        ds = a * (da - (da * a).sum(-1, keepdims=True)) * scale
-        dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-        g["q"], g["k"], g["v"] = (flat(e).T @ flat(m) for m in (dq, dk, dv))
+        g["o"] = c.T @ dh
+        dc = (dh @ w["o"].T).reshape(shape)
+        da = dc @ np.ascontiguousarray(v.transpose(0, 2, 1))
+        dv = flat(a.transpose(0, 2, 1) @ dc)
+        da -= np.einsum("bij,bij->bi", da, a)[..., None]
+        da *= a
+        da *= scale
+        dq, dk = flat(da @ k), flat(da.transpose(0, 2, 1) @ q)
+        g["q"], g["k"], g["v"] = (e.T @ m for m in (dq, dk, dv))
         de = dh + dq @ w["q"].T + dk @ w["k"].T + dv @ w["v"].T
-        g["pos"] = de.sum(0)
+        g["pos"] = de.reshape(shape).sum(0)
         g["e"] = np.zeros_like(w["e"])
-        np.add.at(g["e"], x.ravel(), flat(de))
+        order = np.argsort(x.astype(np.uint16), kind="stable")
+        first = np.flatnonzero(np.diff(x[order], prepend=-1))
+        g["e"][x[order[first]]] = np.add.reduceat(de.take(order, 0), first, 0)
         return float(loss), g
 
     def log_probs(self, stream: np.ndarray, ptr: np.ndarray) -> np.ndarray:
@@ -434,14 +458,18 @@ def _count_pieces(model):
     return run
 
 
-def _count_follows(model, table_row, every: int):
-    """(kind, cell, n, windows): kinds 1 and 2 count pieces after a table row, kind 0 are training windows of pieces."""
+_FOLLOWS = "kind int, key long, n long, windows binary, cells array<int>, times array<int>"
+
+
+def _count_follows(model, table_row):
+    """Rows of _FOLLOWS: kinds 1 and 2 count pieces after a table row by cell, kind 0 are n training windows of pieces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         subwords = kept_subwords(model.value)
         pieces = subwords.end + 1
         tables = [np.zeros((BEFORE + 1) * pieces, np.int32) for _ in range(2)]
-        names, kinds = ["kind", "cell", "n", "windows"], [pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int32())]
+        row_of = lambda *values: pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(values, kinds)], ["kind", "key", "n", "windows", "cells", "times"])
         for _, ids, ptr in _streams(batches, subwords):
             row = table_row.value[ids]
             for back, table in enumerate(tables, 1):
@@ -452,14 +480,15 @@ def _count_follows(model, table_row, every: int):
                     before[first[first < ptr[1:]]] = BEFORE
                 cells, n = np.unique((before * pieces + ids).astype(np.uint32), return_counts=True)
                 table[cells] += n.astype(np.int32)
-            turn = np.add.reduceat(ids, ptr[:-1]) if len(ids) else np.zeros(0, np.int64)  # a text has its end at least
-            rows = training_windows(ids, ptr, turn, every, subwords.end + 1)
-            if len(rows):
-                key = int(mix(np.array([np.bitwise_xor.reduce(rows.astype(np.uint64).ravel() * np.arange(1, rows.size + 1, dtype=np.uint64))]))[0] >> np.uint64(1))
-                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((0, key, len(rows), rows.tobytes()), kinds)], names)
+            windows = training_windows(ids, ptr, np.zeros(len(ptr) - 1, np.int64), 1, subwords.end + 1)
+            if len(windows):
+                key = int(mix(np.array([np.bitwise_xor.reduce(windows.astype(np.uint64).ravel() * np.arange(1, windows.size + 1, dtype=np.uint64))]))[0] >> np.uint64(1))
+                yield row_of(0, key, len(windows), windows.tobytes(), None, None)
         for kind, table in enumerate(tables, 1):
             at = np.flatnonzero(table)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), kind, np.int32)), pa.array(at), pa.array(table[at].astype(np.int64)), pa.nulls(len(at), pa.binary())], names)
+            for a in range(0, len(at), ROW_CELLS):
+                part = at[a : a + ROW_CELLS]
+                yield row_of(kind, a, len(part), None, part.astype(np.int32), table[part])
 
     return run
 
@@ -468,11 +497,17 @@ def _train_shard(attention, classes, round_: int):
     """(n, weights): the weights after the round's part of a shard's windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs = sorted(x for batch in batches for x in batch.column("windows").to_pylist())
-        if blobs:
-            rows = np.frombuffer(b"".join(blobs), np.uint16).reshape(-1, WINDOW + 2)[round_::ROUNDS]
+        known = np.append(classes.value, [CLASSES, CLASSES + 1]).astype(np.uint16)
+        found = {}  # key and windows; the keys put them in an order that reruns have too
+        for batch in batches:
+            for key, blob in zip(batch.column("key").to_pylist(), batch.column("windows")):
+                rows = np.frombuffer(blob.as_buffer(), np.uint16).reshape(-1, WINDOW + 2)
+                found.setdefault((key, len(rows)), []).append(known[rows[(round_ + key) % ROUNDS :: ROUNDS]])
+        rows = [x for _, same in sorted(found.items()) for x in same]
+        if sum(map(len, rows)):
+            found.clear()
+            rows = np.concatenate(rows)
             model = attention.value
-            rows = np.append(classes.value, [CLASSES, CLASSES + 1])[rows]
             once = -(-len(rows) // BATCH)
             model.train(rows, max(once, min(LEAST_STEPS, MOST_PASSES * once)), seed=round_)
             yield pa.RecordBatch.from_arrays([pa.array([len(rows)], pa.int64()), pa.array([pickle.dumps(model.w)], pa.binary())], ["n", "weights"])
@@ -480,20 +515,34 @@ def _train_shard(attention, classes, round_: int):
     return run
 
 
+def _mean_weights(parts: list[tuple[bytes, int]]) -> dict[str, np.ndarray]:
+    """The mean of pickled weights by their numbers of windows, whatever their order."""
+    total, mean = sum(m for _, m in parts), {}
+    for blob, m in sorted(parts):
+        for c, x in pickle.loads(blob).items():
+            mean[c] = mean.get(c, 0.0) + x.astype(np.float64) * (m / total)
+    return mean
+
+
+def _add_weights(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parts = [x for batch in batches for x in zip(batch.column("weights").to_pylist(), batch.column("n").to_pylist())]
+    if parts:
+        yield pa.RecordBatch.from_arrays([pa.array([sum(m for _, m in parts)], pa.int64()), pa.array([pickle.dumps(_mean_weights(parts))], pa.binary())], ["n", "weights"])
+
+
 def fit(rows: DataFrame, counts: np.ndarray, model) -> tuple[Vocabulary, Attention]:
     """Classes and attention model of the training texts of rows(text, train), whose pieces have these counts.
 
-    The driver gets the two tables, at most 2 * (BEFORE + 1) cells a piece, and
-    at most MOST_SHARDS sets of weights a round.
+    Each window of each training text is learned from in one of the rounds. The
+    driver gets the two tables, at most 2 * (BEFORE + 1) cells a piece, and at
+    most MOST_WEIGHTS sets of weights a round.
     """
     sc, pieces = rows.sparkSession.sparkContext, len(counts)
-    every = min(max(int(counts.sum()) // PIECES_EVERY, 1), MOST_EVERY)
-    counted = rows.mapInArrow(_count_follows(model, sc.broadcast(table_rows(counts)), every), "kind int, cell long, n long, windows binary")
-    counted = cut(counted.groupBy("kind", "cell").agg(F.sum("n").alias("n"), F.collect_list("windows").alias("windows")))
+    found = cut(rows.mapInArrow(_count_follows(model, sc.broadcast(table_rows(counts))), _FOLLOWS))
     tables = np.zeros((2, (BEFORE + 1) * pieces), np.float32)
     for kind in (1, 2):
-        cells = counted.where(F.col("kind") == kind).select("cell", "n").toArrow()
-        tables[kind - 1, cells.column("cell").to_numpy()] = cells.column("n").to_numpy()
+        cells = found.where(F.col("kind") == kind).select(F.explode(F.arrays_zip("cells", "times")).alias("x")).groupBy("x.cells").agg(F.sum("x.times").alias("n")).toArrow()
+        tables[kind - 1, cells.column("cells").to_numpy()] = cells.column("n").to_numpy()
     tables = tables.reshape(2, BEFORE + 1, pieces)
     vocabulary = Vocabulary.of(counts, np.concatenate(tables).T)
     by_class = np.zeros((2, BEFORE + 1, CLASSES))
@@ -502,15 +551,17 @@ def fit(rows: DataFrame, counts: np.ndarray, model) -> tuple[Vocabulary, Attenti
     row = np.full(CLASSES, OTHER)
     row[vocabulary.cls[vocabulary.row < OTHER]] = vocabulary.row[vocabulary.row < OTHER]  # such pieces are classes of their own
     attention, classes = Attention(*by_class, row), sc.broadcast(vocabulary.cls)
-    windows = counted.where("kind = 0").select("cell", "n", F.explode("windows").alias("windows"))
-    n = counted.where("kind = 0").agg(F.sum("n")).head()[0] or 0
-    shards = min(max(n // SHARD_WINDOWS, 1), MOST_SHARDS)
+    windows = found.where("kind = 0").select("key", "n", "windows")
+    n = windows.agg(F.sum("n")).head()[0] or 0
+    parts, shards = windows.rdd.getNumPartitions(), max(n // SHARD_WINDOWS, 1)
+    if shards < parts:  # partitions of few windows are put together, the others train where they are
+        windows, parts = windows.repartition(shards, "key"), shards
     for k in range(ROUNDS if n else 0):
-        trained = windows.repartition(shards, "cell").select("windows").mapInArrow(_train_shard(sc.broadcast(attention), classes, k), "n long, weights binary").collect()
-        parts = sorted((r.weights, max(r.n, 1)) for r in trained)
-        total = sum(m for _, m in parts)
-        weights = [(pickle.loads(w), m / total) for w, m in parts]
-        attention.w = {c: sum(w[c].astype(np.float64) * m for w, m in weights).astype(np.float32) for c in attention.w}
+        trained = windows.select("key", "windows").mapInArrow(_train_shard(sc.broadcast(attention), classes, k), "n long, weights binary")
+        if parts > MOST_WEIGHTS:
+            trained = trained.repartition(MOST_WEIGHTS, F.xxhash64("weights")).mapInArrow(_add_weights, "n long, weights binary")
+        weights = _mean_weights([(r.weights, r.n) for r in trained.collect()])
+        attention.w = {c: x.astype(np.float32) for c, x in weights.items()} or attention.w
     return vocabulary, attention
 
 

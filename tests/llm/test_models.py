@@ -5,6 +5,7 @@ from __future__ import annotations
 import collections
 import math
 import os
+import pickle
 import random
 import zlib
 
@@ -97,6 +98,26 @@ def test_training_learns_an_order():
     assert S.Attention(seed=1).train(windows, 150) < 1.5 < math.log(50)
 
 
+def test_every_window_is_learned_from(spark, monkeypatch):
+    """However large the fold is said to be, and in however many partitions, each of its windows is in one round."""
+    with open(S.TOKENIZER, "rb") as f:
+        subwords = S.Subwords(f.read())
+    texts = [" ".join(f"w{i} to{k}" for k in range(i % 7 * 30)) for i in range(40)]
+    counts, want = np.zeros(subwords.end + 1), 0
+    for text in texts:
+        words_ = texts_of(pa.array([text])).words()
+        ids, _ = S.token_stream(words_, words_.hashes(), subwords)
+        np.add.at(counts, ids, 1_000_000)
+        want += -(-len(ids) // S.WINDOW)
+    rows = spark.createDataFrame([(t, True) for t in texts] + [(t + " x", False) for t in texts], "text string, train boolean").repartition(3)
+    seen, mean = [], S._mean_weights
+    monkeypatch.setattr(S, "_mean_weights", lambda parts: (seen.append(sum(n for _, n in parts)), mean(parts))[1])
+    S.fit(rows, counts, spark.sparkContext.broadcast(subwords.model.serialized_model_proto()))
+    assert len(seen) == S.ROUNDS and sum(seen) == want
+    weights = [(pickle.dumps({"a1": np.full(1, x, np.float32)}), n) for x, n in ((1.0, 1), (4.0, 2))]
+    assert mean(weights)["a1"] == pytest.approx(3) and mean(weights[::-1])["a1"] == pytest.approx(3)
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="the driver's tables are not here")
 def test_model_base_and_mixture(spark):
     """On held-out texts the attention model alone is better than the base, and the mixture better than both."""
