@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from gneiss.llm.text import Texts, mix, slices, small_batches, trim
 from gneiss.operators.components import connected_components
-from gneiss.operators.lineage import cut, small
+from gneiss.operators.lineage import BROADCAST_BYTES, cut, small
 
 LEAF = 192
 #: Documents on either side of one block of comparisons.
@@ -148,11 +148,55 @@ def cell_keys(h: np.ndarray, ptr: np.ndarray, percent: int) -> tuple[np.ndarray,
     return np.concatenate(which), np.concatenate(keys)
 
 
-def _cells(n: int, percent: int):
+#: Bits a key of the filter of shared keys, and the most bits of it in all; with fewer a key it lets more through.
+KEY_BITS, MOST_BITS, BIT_PARTS = 16, 1 << 28, 64
+
+
+def _slots(keys: np.ndarray, bits: int) -> np.ndarray:
+    return mix(keys.view(np.uint64) + np.uint64(11)) & np.uint64(bits - 1)
+
+
+def key_filter(keys: DataFrame, count: int) -> np.ndarray:
+    """A bit for each slot of a power of two, set where one of the `count` keys has its slot; no key of them is ever missed."""
+    bits = 1 << min(max(count * KEY_BITS, 8 * BIT_PARTS).bit_length(), MOST_BITS.bit_length() - 1)
+    size = bits // BIT_PARTS
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slot = np.unique(_slots(batch.column("key").to_numpy(), bits)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(slot // size), pa.array(slot % size)], ["part", "slot"])
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[int, np.ndarray] = {}
+        for batch in batches:
+            part, slot = batch.column("part").to_numpy(), batch.column("slot").to_numpy()
+            for k in np.unique(part).tolist():
+                seen.setdefault(k, np.zeros(size, bool))[slot[part == k]] = True
+        if seen:
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen)), pa.array([np.packbits(x).tobytes() for x in seen.values()], pa.binary())], ["part", "bits"])
+
+    out = np.zeros((BIT_PARTS, size // 8), np.uint8)
+    found = keys.select("key").mapInArrow(find, "part long, slot long").repartition(BIT_PARTS, "part").mapInArrow(mark, "part long, bits binary")
+    for row in found.toLocalIterator():
+        out[row.part] = np.frombuffer(row.bits, np.uint8)
+    return out.ravel()
+
+
+def may_have(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether each key may be one of the filter's; true for all that are."""
+    slot = _slots(keys, 8 * len(bits)).astype(np.int64)
+    return (bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 > 0
+
+
+def _cells(n: int, percent: int, bits=None):
+    """(doc_id, key) of each document's cells; bits: a shared key_filter that keys have to pass."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in slices(batch):
                 which, keys = cell_keys(*distinct_sets(texts, n), percent)
+                if bits is not None:
+                    own = may_have(bits.value, keys)
+                    which, keys = which[own], keys[own]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(which)), pa.array(keys.view(np.int64))], ["doc_id", "key"])
 
     return run
@@ -615,10 +659,14 @@ def jaccard_join(docs: DataFrame, shingle: int = 5, percent: int = 80, region_ro
     full = sums.where("n_shingles > 0")
     groups = cut(full.groupBy(*kinds).agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")))
     reps = small(groups.select(F.col("rep").alias("doc_id")), 16)
-    cells = docs.join(reps, "doc_id", "left_semi").mapInArrow(_cells(shingle, percent), "doc_id long, key long")
+    ones = docs.join(reps, "doc_id", "left_semi")
+    cells = ones.mapInArrow(_cells(shingle, percent), "doc_id long, key long")
     # keys that two documents have: their ends are aggregated before the shuffle, so that a crowded key is one row of each task
-    shared = cells.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high").select("key")
-    met = cut(cells.join(small(cut(shared), 64), "key", "left_semi").select("doc_id", "key"))
+    shared = cut(cells.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high").select("key"))
+    if shared.count() * 64 > BROADCAST_BYTES:  # both sides of the join are shuffled: few keys that only one document has travel
+        bits = docs.sparkSession.sparkContext.broadcast(key_filter(shared, shared.count()))
+        cells = ones.mapInArrow(_cells(shingle, percent, bits), "doc_id long, key long")
+    met = cut(cells.join(small(shared, 64), "key", "left_semi").select("doc_id", "key"))
     asked = small(cut(met.select("doc_id").distinct()), 8)
     sketches = cut(docs.join(asked, "doc_id", "left_semi").mapInArrow(_sketches(shingle), "doc_id long, size long, sketch binary"))
     dealt = met.join(small(sketches, 256), "doc_id").repartition("key").sortWithinPartitions("key")

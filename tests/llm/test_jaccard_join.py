@@ -202,3 +202,17 @@ def test_cells_over_many_batches():
                     seen.add(n)
                     queue.append(n)
         assert seen == {d for _, d, _, _ in rows}
+
+
+def test_shared_keys_pass_their_filter(spark, monkeypatch):
+    """No shared key is missed, most others are; and the join is the same with the filter as without it."""
+    r = np.random.default_rng(5)
+    keys = np.unique(r.integers(-(1 << 63), 1 << 63, 6000))
+    r.shuffle(keys)
+    bits = J.key_filter(spark.createDataFrame([(int(k),) for k in keys[:3000]], "key long").repartition(3), 3000)
+    assert J.may_have(bits, keys[:3000]).all() and J.may_have(bits, keys[3000:]).mean() < 0.1
+    none = J.key_filter(spark.createDataFrame([], "key long"), 0)
+    assert not J.may_have(none, keys).any() and J.may_have(none, keys[:0]).size == 0
+    want = sorted(map(tuple, J.jaccard_join(documents(spark)).collect()))
+    monkeypatch.setattr(J, "BROADCAST_BYTES", 0)
+    assert sorted(map(tuple, J.jaccard_join(documents(spark)).collect())) == want
