@@ -23,6 +23,7 @@ have it, where its documents are scored. No word table is ever broadcast.
 
 from __future__ import annotations
 
+import copy
 import itertools
 import math
 import pickle
@@ -138,13 +139,17 @@ class Attention:
         parts = [n.reshape(-1, GROUPS, MEMBERS) for n in (next1, next2)]
         self.group = [np.log(_smoothed(parts[0].sum(2), in_all)), np.log(_smoothed(parts[1].sum(2), in_all) / in_all)]
         self.member = [np.log(_smoothed(parts[0], in_group)), np.log(_smoothed(parts[1], in_group) / in_group)]
-        self.group, self.member = ([x.astype(np.float32) for x in y] for y in (self.group, self.member))
+        self.member = [x.transpose(1, 0, 2) for x in self.member]  # rows of one group are neighbours, as they are looked up group by group
+        self.group, self.member = ([np.ascontiguousarray(x, np.float32) for x in y] for y in (self.group, self.member))
         self.row = np.append(np.full(CLASSES, OTHER) if row is None else row, BEFORE)
         self.mask = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
 
     def train(self, windows: np.ndarray, steps: int, batch: int = BATCH, rate: float = 0.01, seed: int = 2) -> float:
         """Adam on rows of WINDOW + 2 classes, see training_windows; the last step's mean loss in nats."""
-        m, s = ({k: np.zeros_like(v) for k, v in self.w.items()} for _ in range(2))
+        w = np.concatenate([v.ravel() for v in self.w.values()])  # all weights are views of one array, a copy of what they were
+        ends = np.cumsum([v.size for v in self.w.values()]).tolist()
+        self.w = {k: w[b - v.size : b].reshape(v.shape) for (k, v), b in zip(self.w.items(), ends)}
+        m, s, g, below = (np.zeros_like(w) for _ in range(4))
         loss, r, queue = 0.0, np.random.default_rng(seed), np.zeros(0, np.int64)
         for step in range(1, steps + 1 if len(windows) else 1):
             while len(queue) < batch:
@@ -152,15 +157,15 @@ class Attention:
             x, queue = windows[queue[:batch]].astype(np.int64), queue[batch:]
             loss, grad = self._gradients(x[:, :-1], x[:, 2:])
             now = rate * min(1, step / 50) * (1 - step / (steps + 1)) ** 0.5
-            for k, g in grad.items():
-                m[k] *= 0.9
-                m[k] += 0.1 * g
-                s[k] *= 0.99
-                s[k] += 0.01 * g * g
-                below = np.sqrt(s[k])
-                below *= 1 / math.sqrt(1 - 0.99**step)
-                below += 1e-8
-                self.w[k] -= np.float32(now / (1 - 0.9**step)) * m[k] / below
+            np.concatenate([grad[k].ravel() for k in self.w], out=g, casting="same_kind")
+            m *= 0.9
+            m += np.multiply(g, 0.1, out=below)
+            s *= 0.99
+            s += np.multiply(np.multiply(g, g, out=g), 0.01, out=g)
+            np.sqrt(s, out=below)
+            below *= 1 / math.sqrt(1 - 0.99**step)
+            below += 1e-8
+            w -= np.multiply(np.divide(m, below, out=below), now / (1 - 0.9**step), out=below)
         return float(loss)
 
     def _gradients(self, before: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
@@ -170,8 +175,9 @@ class Attention:
         x, x2 = before[:, 1:].ravel(), before[:, :-1].ravel()
         flat = lambda m: m.reshape(-1, m.shape[-1])
         e = flat(w["e"].take(x, 0).reshape(shape) + w["pos"])
-        q, k, v = ((e @ w[c]).reshape(shape) for c in "qkv")
-        a = q @ np.ascontiguousarray(k.transpose(0, 2, 1))
+        qkv = np.concatenate([w[c] for c in "qkv"], 1)
+        q, k, v = np.split((e @ qkv).reshape(*y.shape, 3 * WIDTH), 3, 2)
+        a = q @ k.transpose(0, 2, 1)
         a *= scale
         a += self.mask
         a, total, _ = _exp(a)
@@ -192,9 +198,9 @@ class Attention:
         own = np.empty((len(at), MEMBERS), fk.dtype)
         for j, part in parts:
             np.matmul(fk[part], w["uc"][j], out=own[part])
-            own[part] += w["bc"][j]
+        own += w["bc"].take(group, 0)
         loss, g, d_parts = 0.0, {"a1": np.zeros(1), "a2": np.zeros(1)}, []
-        for d, tables, rows, target in ((fk @ w["ug"] + w["bg"], self.group, (r1, r2), group), (own, [m.reshape(-1, MEMBERS) for m in self.member], (r1 * GROUPS + group, r2 * GROUPS + group), member)):
+        for d, tables, rows, target in ((fk @ w["ug"] + w["bg"], self.group, (r1, r2), group), (own, [m.reshape(-1, MEMBERS) for m in self.member], (group * (BEFORE + 1) + r1, group * (BEFORE + 1) + r2), member)):
             counted = [m.take(r, 0) for m, r in zip(tables, rows)]
             for c_, name in zip(counted, ("a1", "a2")):
                 d += w[name] * c_
@@ -209,10 +215,13 @@ class Attention:
         dg, dm = d_parts
         g["ug"], g["bg"] = fk.T @ dg, dg.sum(0)
         g["uc"], g["bc"] = np.zeros_like(w["uc"]), np.zeros_like(w["bc"])
-        dk = dg @ w["ug"].T
+        if parts:
+            g["bc"][[j for j, _ in parts]] = np.add.reduceat(dm, [part.start for _, part in parts], 0)
+        dk = np.empty_like(fk)
         for j, part in parts:
-            g["uc"][j], g["bc"][j] = fk[part].T @ dm[part], dm[part].sum(0)
-            dk[part] += dm[part] @ w["uc"][j].T
+            np.matmul(fk[part].T, dm[part], out=g["uc"][j])
+            np.matmul(dm[part], w["uc"][j].T, out=dk[part])
+        dk += dg @ w["ug"].T
         df = np.zeros_like(f)
         df[at] = dk
         dz = df @ w["w2"].T
@@ -221,14 +230,19 @@ class Attention:
         dh = df + dz @ w["w1"].T
         g["o"] = c.T @ dh
         dc = (dh @ w["o"].T).reshape(shape)
-        da = dc @ np.ascontiguousarray(v.transpose(0, 2, 1))
-        dv = flat(a.transpose(0, 2, 1) @ dc)
+        d3 = np.empty((*y.shape, 3 * WIDTH), e.dtype)
+        dq, dk, dv = np.split(d3, 3, 2)
+        da = dc @ v.transpose(0, 2, 1)
+        np.matmul(a.transpose(0, 2, 1), dc, out=dv)
         da -= np.einsum("bij,bij->bi", da, a)[..., None]
         da *= a
         da *= scale
-        dq, dk = flat(da @ k), flat(da.transpose(0, 2, 1) @ q)
-        g["q"], g["k"], g["v"] = (e.T @ m for m in (dq, dk, dv))
-        de = dh + dq @ w["q"].T + dk @ w["k"].T + dv @ w["v"].T
+        np.matmul(da, k, out=dq)
+        np.matmul(da.transpose(0, 2, 1), q, out=dk)
+        d3 = flat(d3)
+        g["q"], g["k"], g["v"] = np.split(e.T @ d3, 3, 1)
+        de = d3 @ qkv.T
+        de += dh
         g["pos"] = de.reshape(shape).sum(0)
         g["e"] = np.zeros_like(w["e"])
         order = np.argsort(x.astype(np.uint16), kind="stable")
@@ -241,7 +255,7 @@ class Attention:
         # inputs are each text's start and all classes but its last; the new inputs of windows follow one another
         n, w = np.diff(ptr), self.w
         scaled = lambda tables, bias: (w["a1"] * tables[0] + bias, w["a2"] * tables[1])
-        self.once = {"qk": w["q"] @ w["k"].T * np.float32(WIDTH**-0.5), "vo": w["v"] @ w["o"], "group": scaled(self.group, w["bg"]), "member": [t.reshape(-1, MEMBERS) for t in scaled(self.member, w["bc"])]}
+        self.once = {"qk": w["q"] @ w["k"].T * np.float32(WIDTH**-0.5), "vo": w["v"] @ w["o"], "group": scaled(self.group, w["bg"]), "member": [t.reshape(-1, MEMBERS) for t in scaled(self.member, w["bc"][:, None])]}
         blocks = -(-n // STEP)
         owner = np.repeat(np.arange(len(n)), blocks)
         number = np.arange(blocks.sum()) - np.repeat(np.cumsum(blocks) - blocks, blocks)
@@ -275,15 +289,23 @@ class Attention:
         z += w["b1"]
         f = h + np.maximum(z, 0, out=z) @ w["w2"]
         y, r1, r2 = y.ravel(), self.row[x[:, CONTEXT:].ravel()], self.row[x[:, CONTEXT - 1 : -1].ravel()]
-        group, member = y // MEMBERS, y % MEMBERS
-        out = np.zeros(len(y), np.float32)
-        for logits, tables, rows, right in ((f @ w["ug"], once["group"], (r1, r2), group), (_by_group(f, w["uc"], group), once["member"], (r1 * GROUPS + group, r2 * GROUPS + group), member)):
-            for table, row in zip(tables, rows):
-                logits += table.take(row, 0)
-            _, total, top = _exp(logits)
-            out += logits[np.arange(len(y)), right] - top - np.log(total)
+        order, parts = _sorted(y // MEMBERS)
+        rows, own = f.take(order, 0), np.empty((len(f), MEMBERS), f.dtype)
+        for k, part in parts:
+            np.matmul(rows[part], w["uc"][k], out=own[part])
+        at = y[order] // MEMBERS * (BEFORE + 1)
+        out = np.empty(len(y), np.float32)
+        out[order] = self._log_share(own, once["member"], (at + r1[order], at + r2[order]), y[order] % MEMBERS)
+        out += self._log_share(f @ w["ug"], once["group"], (r1, r2), y // MEMBERS)
         return out.reshape(len(x), STEP)
 
+    @staticmethod
+    def _log_share(logits: np.ndarray, tables: list[np.ndarray], rows: tuple[np.ndarray, np.ndarray], right: np.ndarray) -> np.ndarray:
+        for table, row in zip(tables, rows):
+            logits += table.take(row, 0)
+        _, total, top = _exp(logits)
+        return logits[np.arange(len(right)), right] - top - np.log(total)
+
 
 def _sorted(group: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
     """The rows in the order of their groups, and where each group that occurs is in it."""
@@ -292,17 +314,6 @@ def _sorted(group: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
     return order, [(k, slice(a, b)) for k, (a, b) in enumerate(zip(ends, ends[1:])) if a < b]
 
 
-def _by_group(f: np.ndarray, weights: np.ndarray, group: np.ndarray) -> np.ndarray:
-    """f[i] @ weights[group[i]] of each row."""
-    order, parts = _sorted(group)
-    rows, out = f.take(order, 0), np.empty((len(f), MEMBERS), np.result_type(f, weights))
-    for k, part in parts:
-        np.matmul(rows[part], weights[k], out=out[part])
-    back = np.empty(len(order), np.int64)
-    back[order] = np.arange(len(order))
-    return out.take(back, 0)
-
-
 def _exp(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | float]:
     """exp of x, its row sums, and the row maxima that were taken off before: none unless a sum would overflow or vanish."""
     out = np.exp(x)
@@ -507,7 +518,7 @@ def _train_shard(attention, classes, round_: int):
         if sum(map(len, rows)):
             found.clear()
             rows = np.concatenate(rows)
-            model = attention.value
+            model = copy.copy(attention.value)  # a worker keeps the value for its next shard, which begins where this one did
             once = -(-len(rows) // BATCH)
             model.train(rows, max(once, min(LEAST_STEPS, MOST_PASSES * once)), seed=round_)
             yield pa.RecordBatch.from_arrays([pa.array([len(rows)], pa.int64()), pa.array([pickle.dumps(model.w)], pa.binary())], ["n", "weights"])

@@ -7,6 +7,7 @@ import math
 import os
 import pickle
 import random
+import types
 import zlib
 
 import numpy as np
@@ -118,6 +119,17 @@ def test_every_window_is_learned_from(spark, monkeypatch):
     assert mean(weights)["a1"] == pytest.approx(3) and mean(weights[::-1])["a1"] == pytest.approx(3)
 
 
+def test_a_shard_begins_where_the_others_did():
+    """Shards that one worker trains after one another get the same broadcast value; none goes on from another's weights."""
+    rows = np.random.default_rng(3).integers(0, 50, (40, S.WINDOW + 2)).astype(np.uint16)
+    batch = pa.RecordBatch.from_arrays([pa.array([5]), pa.array([rows.tobytes()], pa.binary())], ["key", "windows"])
+    attention, classes = (types.SimpleNamespace(value=x) for x in (S.Attention(*_tables(), seed=8), np.arange(50)))
+    before = {k: v.copy() for k, v in attention.value.w.items()}
+    first, second = (next(S._train_shard(attention, classes, 0)(iter([batch]))).column("weights")[0].as_py() for _ in range(2))
+    assert first == second
+    assert all((attention.value.w[k] == v).all() for k, v in before.items()) and (pickle.loads(first)["uc"] != before["uc"]).any()
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="the driver's tables are not here")
 def test_model_base_and_mixture(spark):
     """On held-out texts the attention model alone is better than the base, and the mixture better than both."""
