@@ -202,6 +202,18 @@ def _cells(n: int, percent: int, bits=None):
     return run
 
 
+def distinct_cells(met: DataFrame) -> DataFrame:
+    """The rows of met(doc_id, key) with one cell, that of the smallest key, for all cells of the same documents.
+
+    Documents that nearly agree have dozens of cells in common, and the same
+    documents have the same edges in each. A set of documents is known by its
+    least one and 64 bits of all.
+    """
+    sets = met.groupBy("key").agg(F.min("doc_id").alias("low"), F.expr("bit_xor(xxhash64(doc_id))").alias("docs"))
+    kept = cut(sets.groupBy("low", "docs").agg(F.min("key").alias("key")).select("key"))
+    return met.join(small(kept, 64), "key", "left_semi").select("doc_id", "key")
+
+
 #: Classes of the smallest sketch; a set has twice as many until a class has at most SKETCH_LOAD of its shingles, as
 #: with fewer classes the counts of unrelated large sets are too much alike to tell them apart.
 SKETCH, SKETCH_LOAD = 64, 12
@@ -661,12 +673,13 @@ def jaccard_join(docs: DataFrame, shingle: int = 5, percent: int = 80, region_ro
     reps = small(groups.select(F.col("rep").alias("doc_id")), 16)
     ones = docs.join(reps, "doc_id", "left_semi")
     cells = ones.mapInArrow(_cells(shingle, percent), "doc_id long, key long")
-    # keys that two documents have: their ends are aggregated before the shuffle, so that a crowded key is one row of each task
-    shared = cut(cells.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high").select("key"))
+    # keys that two documents have, as a document has none twice: counted before the shuffle, so that a crowded key is one row of each task
+    shared = cut(cells.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
     if shared.count() * 64 > BROADCAST_BYTES:  # both sides of the join are shuffled: few keys that only one document has travel
         bits = docs.sparkSession.sparkContext.broadcast(key_filter(shared, shared.count()))
         cells = ones.mapInArrow(_cells(shingle, percent, bits), "doc_id long, key long")
     met = cut(cells.join(small(shared, 64), "key", "left_semi").select("doc_id", "key"))
+    met = cut(distinct_cells(met))
     asked = small(cut(met.select("doc_id").distinct()), 8)
     sketches = cut(docs.join(asked, "doc_id", "left_semi").mapInArrow(_sketches(shingle), "doc_id long, size long, sketch binary"))
     dealt = met.join(small(sketches, 256), "doc_id").repartition("key").sortWithinPartitions("key")

@@ -216,3 +216,19 @@ def test_shared_keys_pass_their_filter(spark, monkeypatch):
     want = sorted(map(tuple, J.jaccard_join(documents(spark)).collect()))
     monkeypatch.setattr(J, "BROADCAST_BYTES", 0)
     assert sorted(map(tuple, J.jaccard_join(documents(spark)).collect())) == want
+
+
+def test_cells_of_the_same_documents_are_dealt_once(spark, monkeypatch):
+    """Every set of documents that met has one cell, and no link is lost."""
+    met = [(d, key) for key, docs in enumerate([(1, 2), (2, 1), (1, 2, 3), (3, 1, 2), (1, 3), (2, 3), (1, 2, 4), (5, 6), (6, 5), (5, 6)]) for d in docs]
+    got = {}
+    for d, key in J.distinct_cells(spark.createDataFrame(met, "doc_id long, key long")).collect():
+        got.setdefault(key, []).append(d)
+    assert {k: sorted(v) for k, v in got.items()} == {0: [1, 2], 2: [1, 2, 3], 4: [1, 3], 5: [2, 3], 6: [1, 2, 4], 7: [5, 6]}
+    r = random.Random(8)
+    texts = [t for n in (60, 200) for _ in range(10) for t in _family(r, 2, n, 2)]
+    dealt = []
+    monkeypatch.setattr(J, "small", lambda side, size, *_: (dealt.append(side.count()) if side.columns == ["key"] else None, side)[1])
+    rows = J.jaccard_join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 4, 85).collect()
+    assert sorted(tuple(x) for x in rows) == brute(list(enumerate(texts)), 4, 85)
+    assert dealt[0] > 100 and dealt[1] <= 20  # shared keys, and one for each pair
