@@ -43,6 +43,9 @@ TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 WINDOW, CONTEXT, WIDTH, HIDDEN, GROUPS, MEMBERS, CLUSTERS = 32, 8, 24, 32, 32, 32, 32
 CLASSES = GROUPS * MEMBERS
 STEP = WINDOW - CONTEXT
+#: A vector, the one beside it and zeros; rows that are multiplied at once, weights that are moved at once; the place of each embedding's numbers.
+WIDE, CHUNK, AT_ONCE = WIDTH + 8, 512, 1 << 14
+_CELLS = np.arange((CLASSES + 1) * WIDTH).reshape(CLASSES + 1, WIDTH)
 #: Rounds, windows a step, and in each round a shard sees its part once, or up to MOST_PASSES times to make LEAST_STEPS steps.
 ROUNDS, BATCH, LEAST_STEPS, MOST_PASSES = 2, 64, 400, 4
 #: Windows of a shard at least, unless there are fewer in all.
@@ -51,9 +54,10 @@ SHARD_WINDOWS = 32_768
 MOST_WEIGHTS, ROW_CELLS = 128, 1 << 16
 #: Rows of the counted tables: frequent pieces, one for all others, one for what is before a text.
 OTHER, BEFORE = 256, 257
-#: Windows that are scored at once: their logits stay in the processor's cache.
-TOGETHER = 320
-BUCKET_BYTES = 24 << 20
+#: Windows that are scored at once: their logits, 200 KB, stay in the processor's cache.
+TOGETHER = 64
+#: Bytes of text in a bucket, and lists of its words that are added up at a time.
+BUCKET_BYTES, MERGED = 24 << 20, 8
 #: The hash of the end token among words.
 END_HASH = np.uint64(0x656E64)
 #: The attention model's part of the mixture, and what the mixture's word shares leave to new words, per training token.
@@ -109,11 +113,6 @@ def table_rows(counts: np.ndarray) -> np.ndarray:
     return out
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(-1, keepdims=True))
-    return x / x.sum(-1, keepdims=True)
-
-
 def _smoothed(n: np.ndarray, share: np.ndarray) -> np.ndarray:
     """Shares of counts along the last axis, discounted and filled up by `share`."""
     return (np.maximum(n - 0.75, 0) + (0.75 * (n > 0).sum(-1, keepdims=True) + 1) * share) / (n.sum(-1, keepdims=True) + 1)
@@ -149,7 +148,7 @@ class Attention:
         w = np.concatenate([v.ravel() for v in self.w.values()])  # all weights are views of one array, a copy of what they were
         ends = np.cumsum([v.size for v in self.w.values()]).tolist()
         self.w = {k: w[b - v.size : b].reshape(v.shape) for (k, v), b in zip(self.w.items(), ends)}
-        m, s, g, below = (np.zeros_like(w) for _ in range(4))
+        m, s, g = (np.zeros_like(w) for _ in range(3))  # ten times and a hundred times the means of gradients and squares
         loss, r, queue = 0.0, np.random.default_rng(seed), np.zeros(0, np.int64)
         for step in range(1, steps + 1 if len(windows) else 1):
             while len(queue) < batch:
@@ -158,104 +157,101 @@ class Attention:
             loss, grad = self._gradients(x[:, :-1], x[:, 2:])
             now = rate * min(1, step / 50) * (1 - step / (steps + 1)) ** 0.5
             np.concatenate([grad[k].ravel() for k in self.w], out=g, casting="same_kind")
-            m *= 0.9
-            m += np.multiply(g, 0.1, out=below)
-            s *= 0.99
-            s += np.multiply(np.multiply(g, g, out=g), 0.01, out=g)
-            np.sqrt(s, out=below)
-            below *= 1 / math.sqrt(1 - 0.99**step)
-            below += 1e-8
-            w -= np.multiply(np.divide(m, below, out=below), now / (1 - 0.9**step), out=below)
+            spread = math.sqrt(0.01 / (1 - 0.99**step))
+            for a in range(0, len(w), AT_ONCE):  # a part stays in the processor's cache
+                w_, m_, s_, g_ = (x[a : a + AT_ONCE] for x in (w, m, s, g))
+                m_ *= 0.9
+                m_ += g_
+                s_ *= 0.99
+                s_ += np.multiply(g_, g_, out=g_)
+                np.sqrt(s_, out=g_)
+                g_ += 1e-8 / spread
+                np.divide(m_, g_, out=g_)
+                g_ *= 0.1 * now / (1 - 0.9**step) / spread
+                w_ -= g_
         return float(loss)
 
+    def _wide(self) -> dict[str, np.ndarray]:
+        """The weights for vectors of WIDE numbers: the WIDTH of a vector, a one that takes the biases, zeros.
+
+        One head as wide as the vectors needs its four matrices as two products alone.
+        """
+        w = self.w
+        wide = {"e": _padded(w["e"], len(w["e"])), "pos": _padded(w["pos"], WINDOW), "qk": _padded(w["q"] @ w["k"].T * w["q"].dtype.type(WIDTH**-0.5)), "vo": _padded(w["v"] @ w["o"]), "w2": _padded(w["w2"], HIDDEN)}
+        wide["e"][:, WIDTH] = 1
+        return wide | {c: _padded(w[c], WIDE, w[c].shape[-1], w[b]) for c, b in (("w1", "b1"), ("ug", "bg"), ("uc", "bc"))}
+
     def _gradients(self, before: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Loss and gradients of the classes y; `before` are the inputs, with one more in front. Classes beyond CLASSES are not there."""
-        w, scale, shape = self.w, np.float32(WIDTH**-0.5), (*y.shape, WIDTH)
-        before = np.minimum(before, CLASSES)
-        x, x2 = before[:, 1:].ravel(), before[:, :-1].ravel()
-        flat = lambda m: m.reshape(-1, m.shape[-1])
-        e = flat(w["e"].take(x, 0).reshape(shape) + w["pos"])
-        qkv = np.concatenate([w[c] for c in "qkv"], 1)
-        q, k, v = np.split((e @ qkv).reshape(*y.shape, 3 * WIDTH), 3, 2)
-        a = q @ k.transpose(0, 2, 1)
-        a *= scale
-        a += self.mask
-        a, total, _ = _exp(a)
-        a /= total[..., None]
-        c = flat(a @ v)
-        h = e + c @ w["o"]
-        z = h @ w["w1"]
-        z += w["b1"]
+        w, m, kind, size = self.w, self._wide(), self.w["e"].dtype, y.shape[1]
+        turned = {c: np.ascontiguousarray(np.swapaxes(m[c], -1, -2)) for c in ("qk", "vo", "w1", "w2", "ug", "uc")}
+        flat = lambda x: x.reshape(-1, x.shape[-1])
+        tables = [[flat(t).astype(kind, copy=False) for t in x] for x in (self.group, self.member)]
+        both, g_both = np.concatenate([w["a1"], w["a2"]]), np.zeros(2)
+        before, y = np.minimum(before, CLASSES), y.ravel()
+        x, row = np.ascontiguousarray(before[:, 1:]), self.row[before]
+        r1, r2 = row[:, 1:].ravel(), row[:, :-1].ravel()
+        known = y < CLASSES
+        n = max(int(known.sum()), 1)
+        part = known.astype(kind) / kind.type(n)
+        group, member = np.divmod(np.minimum(y, CLASSES - 1), MEMBERS)
+        # beside one another: queries and, on the way back, what comes to a mean; and the slopes of the logits and exp of them
+        sides, exps = np.empty((len(x), 2 * size, WIDE), kind), np.empty((len(x), 2 * size, size), kind)
+        e = m["e"].take(x, 0)
+        e += m["pos"]
+        keys = np.ascontiguousarray(e.transpose(0, 2, 1))
+        np.matmul(e, m["qk"], out=sides[:, :size])
+        c, total = _attended(sides[:, :size] @ keys, self.mask, e, exps[:, size:])
+        h = _times(c, m["vo"])
+        h += flat(e)
+        z = _times(h, m["w1"])
         np.maximum(z, 0, out=z)
-        f = h + z @ w["w2"]
-        at = np.flatnonzero(y.ravel() < CLASSES)
-        right = y.ravel()[at]
-        order, parts = _sorted(right // MEMBERS)
-        at, right = at[order], right[order]  # the known classes, group by group
-        n, i = max(len(at), 1), np.arange(len(at))
-        group, member = right // MEMBERS, right % MEMBERS
-        fk, r1, r2 = f.take(at, 0), self.row[x[at]], self.row[x2[at]]
-        own = np.empty((len(at), MEMBERS), fk.dtype)
-        for j, part in parts:
-            np.matmul(fk[part], w["uc"][j], out=own[part])
-        own += w["bc"].take(group, 0)
-        loss, g, d_parts = 0.0, {"a1": np.zeros(1), "a2": np.zeros(1)}, []
-        for d, tables, rows, target in ((fk @ w["ug"] + w["bg"], self.group, (r1, r2), group), (own, [m.reshape(-1, MEMBERS) for m in self.member], (group * (BEFORE + 1) + r1, group * (BEFORE + 1) + r2), member)):
-            counted = [m.take(r, 0) for m, r in zip(tables, rows)]
-            for c_, name in zip(counted, ("a1", "a2")):
-                d += w[name] * c_
-            d, total, _ = _exp(d)
-            d /= total[:, None]
-            loss -= np.log(d[i, target] + 1e-12).sum() / n
-            d[i, target] -= 1
-            d /= n
-            for c_, name in zip(counted, ("a1", "a2")):
-                g[name] += np.vdot(d, c_)
-            d_parts.append(d)
-        dg, dm = d_parts
-        g["ug"], g["bg"] = fk.T @ dg, dg.sum(0)
-        g["uc"], g["bc"] = np.zeros_like(w["uc"]), np.zeros_like(w["bc"])
-        if parts:
-            g["bc"][[j for j, _ in parts]] = np.add.reduceat(dm, [part.start for _, part in parts], 0)
-        dk = np.empty_like(fk)
-        for j, part in parts:
-            np.matmul(fk[part].T, dm[part], out=g["uc"][j])
-            np.matmul(dm[part], w["uc"][j].T, out=dk[part])
-        dk += dg @ w["ug"].T
-        df = np.zeros_like(f)
-        df[at] = dk
-        dz = df @ w["w2"].T
+        f = _times(z, m["w2"])
+        f += h
+        dg, share = _slopes(_times(f, m["ug"]), tables[0], (r1, r2), both, group, part, g_both)
+        loss = np.log(share[known] + 1e-12).sum()
+        at = np.flatnonzero(known)
+        order, parts = _sorted(group[at])
+        at = at[order]  # the known classes, group by group
+        fk, own, first = f.take(at, 0), np.empty((len(at), MEMBERS), kind), group[at] * (BEFORE + 1)
+        for j, rows in parts:
+            np.matmul(fk[rows], m["uc"][j], out=own[rows])
+        dm, share = _slopes(own, tables[1], (first + r1[at], first + r2[at]), both, member[at], part[at], g_both)
+        loss += np.log(share + 1e-12).sum()
+        g_uc, dk = np.zeros_like(m["uc"]), np.zeros((len(at) + 1, WIDE), kind)
+        for j, rows in parts:
+            np.matmul(fk[rows].T, dm[rows], out=g_uc[j])
+            np.matmul(dm[rows], turned["uc"][j], out=dk[rows])
+        back = np.full(len(y), len(at))
+        back[at] = np.arange(len(at))
+        dh = _times(dg, turned["ug"])
+        dh += dk.take(back, 0)
+        dz = _times(dh, turned["w2"])
         dz *= z > 0
-        g["w2"], g["w1"], g["b1"] = z.T @ df, h.T @ dz, dz.sum(0)
-        dh = df + dz @ w["w1"].T
-        g["o"] = c.T @ dh
-        dc = (dh @ w["o"].T).reshape(shape)
-        d3 = np.empty((*y.shape, 3 * WIDTH), e.dtype)
-        dq, dk, dv = np.split(d3, 3, 2)
-        da = dc @ v.transpose(0, 2, 1)
-        np.matmul(a.transpose(0, 2, 1), dc, out=dv)
-        da -= np.einsum("bij,bij->bi", da, a)[..., None]
-        da *= a
-        da *= scale
-        np.matmul(da, k, out=dq)
-        np.matmul(da.transpose(0, 2, 1), q, out=dk)
-        d3 = flat(d3)
-        g["q"], g["k"], g["v"] = np.split(e.T @ d3, 3, 1)
-        de = d3 @ qkv.T
-        de += dh
-        g["pos"] = de.reshape(shape).sum(0)
-        g["e"] = np.zeros_like(w["e"])
-        order = np.argsort(x.astype(np.uint16), kind="stable")
-        first = np.flatnonzero(np.diff(x[order], prepend=-1))
-        g["e"][x[order[first]]] = np.add.reduceat(de.take(order, 0), first, 0)
-        return float(loss), g
+        g_w2, g_w1, g_ug = _crossed(z, dh), _crossed(h, dz), _crossed(f, dg)
+        dh += _times(dz, turned["w1"])
+        dc = sides[:, size:]
+        np.divide(_times(dh, turned["vo"]).reshape(e.shape), total.reshape(len(x), size, 1), out=dc)
+        dc[:, :, WIDTH] = -np.einsum("bij,bij->bi", dc, c.reshape(e.shape))  # times the ones of the keys: the mean slope
+        np.multiply(dc @ keys, exps[:, size:], out=exps[:, :size])
+        du = flat(exps[:, :size] @ e)
+        de = exps.transpose(0, 2, 1) @ sides
+        de += _times(du, turned["qk"]).reshape(e.shape)
+        de += dh.reshape(e.shape)
+        de = de[:, :, :WIDTH]
+        g_qk, g_vo = _crossed(flat(e), du)[:WIDTH, :WIDTH] * kind.type(WIDTH**-0.5), _crossed(c, dh)[:WIDTH, :WIDTH]
+        g = {"q": g_qk @ w["k"], "k": g_qk.T @ w["q"], "v": g_vo @ w["o"].T, "o": w["v"].T @ g_vo, "w2": g_w2[:, :WIDTH], "a1": g_both[:1], "a2": g_both[1:], "pos": de.sum(0)}
+        for c_, b, both_ in (("w1", "b1", g_w1), ("ug", "bg", g_ug), ("uc", "bc", g_uc)):
+            g[c_], g[b] = both_[..., :WIDTH, :], both_[..., WIDTH, :]
+        g["e"] = np.bincount(_CELLS.take(x, 0).ravel(), de.ravel(), _CELLS.size).reshape(_CELLS.shape)
+        return -float(loss) / n, g
 
     def log_probs(self, stream: np.ndarray, ptr: np.ndarray) -> np.ndarray:
         """Natural logs of the probability of each class of the texts stream[ptr[i]:ptr[i + 1]]."""
         # inputs are each text's start and all classes but its last; the new inputs of windows follow one another
         n, w = np.diff(ptr), self.w
-        scaled = lambda tables, bias: (w["a1"] * tables[0] + bias, w["a2"] * tables[1])
-        self.once = {"qk": w["q"] @ w["k"].T * np.float32(WIDTH**-0.5), "vo": w["v"] @ w["o"], "group": scaled(self.group, w["bg"]), "member": [t.reshape(-1, MEMBERS) for t in scaled(self.member, w["bc"][:, None])]}
+        scaled = lambda tables: [w[c] * t.reshape(-1, t.shape[-1]) for c, t in zip(("a1", "a2"), tables)]
+        self.once = self._wide() | {"group": scaled(self.group), "member": scaled(self.member)}
         blocks = -(-n // STEP)
         owner = np.repeat(np.arange(len(n)), blocks)
         number = np.arange(blocks.sum()) - np.repeat(np.cumsum(blocks) - blocks, blocks)
@@ -273,30 +269,28 @@ class Attention:
 
     def _scores(self, x: np.ndarray, y: np.ndarray, absent: np.ndarray) -> np.ndarray:
         """Masked attention of each window's new inputs over all of it; absent inputs are never attended to."""
-        w, once = self.w, self.once
-        e = w["e"][x]
-        e += w["pos"]
-        late = e[:, CONTEXT:].reshape(-1, WIDTH)
-        s = (late @ once["qk"]).reshape(len(x), STEP, WIDTH) @ np.ascontiguousarray(e.transpose(0, 2, 1))
-        s += self.mask[CONTEXT:]
+        once = self.once
+        e = once["e"].take(x, 0)
+        e += once["pos"]
+        late = e[:, CONTEXT:].reshape(-1, WIDE)
+        s = _times(late, once["qk"]).reshape(len(x), STEP, WIDE) @ np.ascontiguousarray(e.transpose(0, 2, 1))
         begin = np.flatnonzero(absent[:, 0])  # only a text's first window reaches before it
         s[begin] += np.where(absent[begin], np.float32(-1e9), np.float32(0))[:, None, :]
-        s, total, _ = _exp(s)
-        c = (s @ e).reshape(-1, WIDTH)
-        c /= total.reshape(-1, 1)
-        h = late + c @ once["vo"]
-        z = h @ w["w1"]
-        z += w["b1"]
-        f = h + np.maximum(z, 0, out=z) @ w["w2"]
-        y, r1, r2 = y.ravel(), self.row[x[:, CONTEXT:].ravel()], self.row[x[:, CONTEXT - 1 : -1].ravel()]
-        order, parts = _sorted(y // MEMBERS)
+        h = _times(_attended(s, self.mask[CONTEXT:], e)[0], once["vo"])
+        h += late
+        z = _times(h, once["w1"])
+        f = _times(np.maximum(z, 0, out=z), once["w2"])
+        f += h
+        r1, r2 = self.row[x[:, CONTEXT:].ravel()], self.row[x[:, CONTEXT - 1 : -1].ravel()]
+        group, member = np.divmod(y.ravel(), MEMBERS)
+        order, parts = _sorted(group)
         rows, own = f.take(order, 0), np.empty((len(f), MEMBERS), f.dtype)
         for k, part in parts:
-            np.matmul(rows[part], w["uc"][k], out=own[part])
-        at = y[order] // MEMBERS * (BEFORE + 1)
-        out = np.empty(len(y), np.float32)
-        out[order] = self._log_share(own, once["member"], (at + r1[order], at + r2[order]), y[order] % MEMBERS)
-        out += self._log_share(f @ w["ug"], once["group"], (r1, r2), y // MEMBERS)
+            np.matmul(rows[part], once["uc"][k], out=own[part])
+        at = group[order] * (BEFORE + 1)
+        out = np.empty(len(f), np.float32)
+        out[order] = self._log_share(own, once["member"], (at + r1[order], at + r2[order]), member[order])
+        out += self._log_share(_times(f, once["ug"]), once["group"], (r1, r2), group)
         return out.reshape(len(x), STEP)
 
     @staticmethod
@@ -318,13 +312,72 @@ def _exp(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | float]:
     """exp of x, its row sums, and the row maxima that were taken off before: none unless a sum would overflow or vanish."""
     out = np.exp(x)
     total = out @ np.ones(x.shape[-1], x.dtype)
-    if np.isfinite(total).all() and total.min(initial=1) > 1e-30:
+    if _in_range(total):
         return out, total, 0.0
     top = x.max(-1)
     out = np.exp(x - top[..., None])
     return out, out.sum(-1), top
 
 
+def _in_range(total: np.ndarray) -> bool:
+    return total.max(initial=1) < 1e30 and total.min(initial=1) > 1e-30  # false as well if one is NaN
+
+
+def _attended(s: np.ndarray, mask: np.ndarray, e: np.ndarray, exps: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Means of the rows e by exp of the logits s, and the sums of those, which the rows' ones give; exps gets exp."""
+    s += mask
+    exps = np.exp(s, out=exps)
+    c = (exps @ e).reshape(-1, WIDE)
+    if not _in_range(c[:, WIDTH]):
+        c = (np.exp(s - s.max(-1, keepdims=True), out=exps) @ e).reshape(-1, WIDE)
+    total = c[:, WIDTH].copy()
+    c /= total[:, None]
+    return c, total
+
+
+def _slopes(logits: np.ndarray, tables: list[np.ndarray], rows: tuple[np.ndarray, np.ndarray], both: np.ndarray, right: np.ndarray, part: np.ndarray, g_both: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The loss's slopes by logits that get the tables' rows times `both`, whose own slopes g_both gets; and the right ones' shares.
+
+    part: of the loss that is each row's.
+    """
+    counted = np.empty((2, *logits.shape), logits.dtype)
+    for table, row, out in zip(tables, rows, counted):
+        table.take(row, 0, out=out, mode="clip")
+    counted = counted.reshape(2, -1)
+    logits += (both @ counted).reshape(logits.shape)
+    d, total, _ = _exp(logits)
+    flat, at = d.reshape(-1), np.arange(0, d.size, d.shape[1]) + right
+    share = flat[at] / total
+    d *= (part / total)[:, None]
+    flat[at] -= part
+    g_both += counted @ flat
+    return d, share
+
+
+def _padded(x: np.ndarray, rows: int = WIDE, columns: int = WIDE, bias: np.ndarray | None = None) -> np.ndarray:
+    """Matrices with zeros below and beside them, and the bias in the row that meets the vectors' one."""
+    out = np.zeros((*x.shape[:-2], rows, columns), x.dtype)
+    out[..., : x.shape[-2], : x.shape[-1]] = x
+    if bias is not None:
+        out[..., WIDTH, :] = bias
+    return out
+
+
+def _times(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """x @ w in parts of CHUNK rows, which the library multiplies without copying them first."""
+    out, m = np.empty((len(x), w.shape[1]), x.dtype), len(x) // CHUNK * CHUNK
+    np.matmul(x[:m].reshape(-1, CHUNK, x.shape[1]), w, out=out[:m].reshape(-1, CHUNK, w.shape[1]))
+    np.matmul(x[m:], w, out=out[m:])
+    return out
+
+
+def _crossed(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """x.T @ y, likewise."""
+    m = len(x) // CHUNK * CHUNK
+    out = (x[:m].reshape(-1, CHUNK, x.shape[1]).transpose(0, 2, 1) @ y[:m].reshape(-1, CHUNK, y.shape[1])).sum(0)
+    return out + x[m:].T @ y[m:] if m < len(x) else out
+
+
 class Subwords:
     """Piece ids of words. Each slot of the cache has the last word of its hash; others are encoded again."""
 
@@ -576,11 +629,17 @@ def fit(rows: DataFrame, counts: np.ndarray, model) -> tuple[Vocabulary, Attenti
     return vocabulary, attention
 
 
+def _added(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys of lists of them, with the sums of their numbers."""
+    keys, back = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
+    return keys, np.bincount(back, np.concatenate([n for _, n in found])).astype(np.int64)
+
+
 def _bucket_words():
     """(bucket, hash, n): the distinct words of each bucket with their number in training texts, ends included."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[int, list[np.ndarray]] = {}
+        seen: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
         for batch in batches:
             for part, texts in slices(batch):
                 words = texts.lower().words()
@@ -592,11 +651,11 @@ def _bucket_words():
                     own = (bucket == b)[owner]
                     keys, back = np.unique(h[own], return_inverse=True)
                     n = np.bincount(back, train[owner[own]], len(keys)).astype(np.int64)
-                    if b in seen:
-                        keys, back = np.unique(np.concatenate([seen[b][0], keys]), return_inverse=True)
-                        n = np.bincount(back, np.concatenate([seen[b][1], n])).astype(np.int64)
-                    seen[b] = [keys, n]
-        for b, (keys, n) in seen.items():
+                    seen.setdefault(b, []).append((keys, n))
+                    if len(seen[b]) == MERGED:
+                        seen[b] = [_added(seen[b])]
+        for b, found in seen.items():
+            keys, n = _added(found)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), b, np.int32)), pa.array(keys.view(np.int64)), pa.array(n)], ["bucket", "hash", "n"])
 
     return run

@@ -7,6 +7,7 @@ import math
 import os
 import pickle
 import random
+import tracemalloc
 import types
 import zlib
 
@@ -91,6 +92,45 @@ def test_scores_agree_with_the_trained_loss():
     assert -a.log_probs(stream, np.array([0, len(stream)])).mean() == pytest.approx(loss, rel=1e-4)
 
 
+def test_scoring_stays_in_the_cache():
+    """Windows are scored so few at a time that all their arrays have some 3 MB, however long the text is."""
+    a, stream = S.Attention(*_tables(), seed=6), np.random.default_rng(4).integers(0, S.CLASSES, 60_000)
+    a.log_probs(stream[:100], np.array([0, 100]))
+    tracemalloc.start()
+    got = a.log_probs(stream, np.array([0, len(stream)]))
+    held = got.nbytes + 2 * 8 * (len(stream) // S.STEP + 1) + sum(x.nbytes for x in (*a.once["group"], *a.once["member"]))
+    assert tracemalloc.get_traced_memory()[1] < held + (4 << 20)
+    tracemalloc.stop()
+
+
+def test_large_logits_and_odd_batches():
+    """Sums of exp beyond a float32, and rows that don't fill the parts of products, give the loss and slopes that float64 gives."""
+    a, b = (S.Attention(*_tables(), seed=3) for _ in range(2))
+    a.w["q"] *= 150
+    a.w["ug"] *= 900
+    b.w = {k: v.astype(np.float64) for k, v in a.w.items()}
+    r = np.random.default_rng(0)
+    x, y = r.integers(0, S.CLASSES, (21, S.WINDOW + 1)), r.integers(0, S.CLASSES + 30, (21, S.WINDOW))
+    (loss, g), (want, h) = a._gradients(x, y), b._gradients(x, y)
+    assert loss == pytest.approx(want, rel=1e-3)
+    for name in h:
+        assert np.abs(g[name] - h[name]).max() < 0.02 * np.abs(h[name]).max(), name
+
+
+def test_words_of_many_slices_add_up(monkeypatch):
+    monkeypatch.setattr(S, "slices", lambda batch: ((batch.slice(k, 1), texts_of(batch.column("text").slice(k, 1))) for k in range(batch.num_rows)))
+    texts = [" ".join(f"W{i * j % 11}" for j in range(i % 6)) for i in range(50)]
+    train, bucket = [i % 3 > 0 for i in range(50)], [i % 2 for i in range(50)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(train), pa.array(bucket, pa.int32())], ["text", "train", "bucket"])
+    got = pa.Table.from_batches(S._bucket_words()(iter([batch]))).to_pylist()
+    want = collections.Counter()
+    for text, t, b in zip(texts, train, bucket):
+        hashes = texts_of(pa.array([text])).lower().words().hashes().view(np.int64).tolist()
+        for h in [*hashes, int(S.END_HASH)]:
+            want[b, h] += t
+    assert len(got) == len(want) and {(r["bucket"], r["hash"]): r["n"] for r in got} == want
+
+
 def test_training_learns_an_order():
     r = np.random.default_rng(2)
     stream = (np.arange(12000) * 3 + (r.random(12000) < 0.02)) % 50
